@@ -90,11 +90,17 @@ def state_runs(
     the time of the first closing row after the run, NULL while there is none;
     a row that neither continues nor closes only splits the run.
 
-    ``local`` aggregates the rows of a run inside one slice, ``merged``
+    ``local`` aggregates the wanted rows of a run inside one slice, ``merged``
     aggregates these partial results over ``local`` names.  Returns ``keys``,
     ``run_start``, ``run_last``, ``run_end``, ``_state`` and the merged names.
     """
     rows = df.withColumn("_state", state).withColumn("_slice", slice_of(F.col(ts), slice_seconds))
+    # Other rows matter by time and state only: their wide columns become NULL
+    # before the shuffle.
+    narrow = [*keys, ts, "_state", "_slice"]
+    rows = rows.select(*narrow, *[
+        F.when(wanted, F.col(c)).alias(c) for c in rows.columns if c not in narrow
+    ])
     at = F.col(ts)
 
     # Pass 1: one narrow row per slice.

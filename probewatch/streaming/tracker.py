@@ -50,15 +50,24 @@ def incremental_status_events(
 
 
 def _split_at_close(open_events: DataFrame, rows: DataFrame, start: str, last: str, closes: Column):
-    """Tag rows with their target's open incident and the time that closes it."""
-    keys = broadcast_if_small(open_events.select(
-        "target_name", F.col(start).alias("_start"), F.col(last).alias("_last")))
-    tagged = rows.join(keys, "target_name", "left")
+    """Tag rows with their target's open incident and the time that closes it.
+
+    There is at most one open incident per target, so the closing times are at
+    most as many as the open incidents: one size check decides both joins.
+    """
+    keys = open_events.select("target_name", F.col(start).alias("_start"), F.col(last).alias("_last"))
+    known = keys.limit(BROADCAST_ROWS + 1).count()
+    if known == 0:
+        nothing = rows.select("target_name", F.lit(None).cast("timestamp").alias("_close")).where(F.lit(False))
+        none = F.lit(None).cast("timestamp")
+        return rows.withColumns({"_start": none, "_last": none, "_close": none}), nothing
+    hint = F.broadcast if known <= BROADCAST_ROWS else (lambda df: df)
+    tagged = rows.join(hint(keys), "target_name", "left")
     closing = (
         tagged.where(F.col("_start").isNotNull() & closes & (F.col("checked_at") >= F.col("_start")))
         .groupBy("target_name").agg(F.min("checked_at").alias("_close"))
     )
-    return tagged.join(broadcast_if_small(closing), "target_name", "left"), closing
+    return tagged.join(hint(closing), "target_name", "left"), closing
 
 
 def _split(events: DataFrame, end: str) -> tuple[DataFrame, DataFrame]:
@@ -157,16 +166,6 @@ def track_latency(
         plus("slow_samples", "_x.n"), plus("latency_ms_sum", "_x.total"),
         plus("latency_ms_count", "_x.n"), F.greatest("max_latency_ms", "_x.peak").alias("max_latency_ms"),
     )
-    ended = (
-        rows.where(~F.col("_slow")).join(broadcast_if_small(
-            other.select("target_name", "threshold_ms", "slow_start")), "target_name")
-        .where(at >= F.col("slow_start"))
-        .groupBy("target_name", "threshold_ms").agg(F.min(at).alias("_close"))
-    )
-    others = (
-        other.join(ended, ["target_name", "threshold_ms"], "left")
-        .withColumn("slow_end", F.col("_close")).drop("_close")
-    )
     state = F.col("_state")
     runs = state_runs(
         tagged.where(_after_close), ["target_name"], "checked_at",
@@ -186,5 +185,17 @@ def track_latency(
         "slow_samples", "latency_ms_sum", F.col("slow_samples").alias("latency_ms_count"),
         "max_latency_ms",
     )
+    if other.isEmpty():
+        return _split(_cast(known, LATENCY_EVENT).unionByName(_cast(fresh, LATENCY_EVENT)), "slow_end")
+    ended = (
+        rows.where(~F.col("_slow")).join(broadcast_if_small(
+            other.select("target_name", "threshold_ms", "slow_start")), "target_name")
+        .where(at >= F.col("slow_start"))
+        .groupBy("target_name", "threshold_ms").agg(F.min(at).alias("_close"))
+    )
+    others = (
+        other.join(ended, ["target_name", "threshold_ms"], "left")
+        .withColumn("slow_end", F.col("_close")).drop("_close")
+    )
     merged = _cast(known, LATENCY_EVENT).unionByName(_cast(others, LATENCY_EVENT))
     return _split(merged.unionByName(_cast(fresh, LATENCY_EVENT)), "slow_end")
