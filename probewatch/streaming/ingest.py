@@ -50,12 +50,11 @@ def dedup_stream(samples: DataFrame, delay: str = "3 minutes") -> DataFrame:
     return samples.withWatermark("checked_at", delay).dropDuplicatesWithinWatermark(ops.SAMPLE_KEY)
 
 
-def hourly_stream(samples: DataFrame, delay: str = "3 minutes") -> DataFrame:
-    """Hourly sample counts as an event-time window aggregation."""
+def hourly_stream(samples: DataFrame) -> DataFrame:
+    """Hourly sample counts of a stream with a watermark, by event-time window."""
     up = F.col("is_up") == 1
     return (
-        samples.withWatermark("checked_at", delay)
-        .groupBy(F.window("checked_at", "1 hour"), "target_name")
+        samples.groupBy(F.window("checked_at", "1 hour"), "target_name")
         .agg(F.count(F.lit(1)).alias("probes"), F.count_if(up).alias("up_probes"),
              F.count_if(F.col("is_up") == 0).alias("down_probes"))
         .select(F.col("window.start").alias("period_hour"), "target_name",
