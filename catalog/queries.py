@@ -55,14 +55,13 @@ def _minutes(spark, sf):
     return kpi.minute_samples(I.samples(spark, sf))
 
 
-def _incremental(spark, sf, track, schema):
+def _incremental(spark, sf, advance, schema, end):
     """Two consecutive batches through the tracker; open and closed incidents."""
-    empty = spark.createDataFrame([], schema)
     first = I.stored_samples(spark, sf)
     second = cut_lineage(ingest.dedup_new_rows(I.batch_samples(spark, sf), first))
-    opened, closed = track(empty, first)
-    still, closed_later = track(cut_lineage(opened), second)
-    return closed.unionByName(closed_later).unionByName(still)
+    before = cut_lineage(advance(spark.createDataFrame([], schema), first))
+    opened, closed = tracker.split_open(before, end)
+    return closed.unionByName(advance(opened, second))
 
 
 def _iv(spark, sf, **labels):
@@ -243,8 +242,8 @@ QUERIES = {
     "downtime_history": lambda s, d: events.downtime_history(events.downtime_events(I.samples(s, d)), NOW()),
     "latency_history": lambda s, d: events.latency_history(events.latency_events(I.samples(s, d)), NOW()),
     "incremental_status_events": _incremental_status,
-    "incremental_downtime_events": lambda s, d: _incremental(s, d, tracker.track_downtime, S.DOWNTIME_EVENT),
-    "incremental_latency_events": lambda s, d: _incremental(s, d, tracker.track_latency, S.LATENCY_EVENT),
+    "incremental_downtime_events": lambda s, d: _incremental(s, d, tracker.advance_downtime, S.DOWNTIME_EVENT, "down_end"),
+    "incremental_latency_events": lambda s, d: _incremental(s, d, tracker.advance_latency, S.LATENCY_EVENT, "slow_end"),
     # time series
     "min_over_time": lambda s, d: series.over_time(series.success_series(I.samples(s, d)), "min", I.LOOKBACK, I.HOURS),
     "avg_over_time": lambda s, d: series.over_time(series.duration_series(I.samples(s, d)), "avg", I.LOOKBACK, I.HOURS),

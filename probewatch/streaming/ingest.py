@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probewatch import schemas as S
 from probewatch.operators import ingest as ops
 from probewatch.operators import inventory, kpi
-from probewatch.operators.series import at
+from probewatch.operators.series import at, at_micros
 from probewatch.sources.constraints import split_valid
 from probewatch.sources.documents import samples_from_documents, stream_documents
 from probewatch.streaming.store import Store
 from probewatch.streaming.tracker import (
-    broadcast_if_small, incremental_status_events, track_downtime, track_latency,
+    advance_downtime, advance_latency, broadcast_if_small, incremental_status_events, split_open,
 )
 
 
@@ -79,18 +82,28 @@ def _context(store: Store, new_rows: DataFrame, batch_id: int) -> DataFrame:
         .where(F.col("first_probe_at") < F.col("_first"))
         .groupBy("target_name").agg(F.max("period_hour").alias("h"))
     )
-    lower = hours.agg(F.min("h")).first()[0]
-    ordered = last.join(late, "target_name", "left_anti")
+    lower = hours.agg(F.unix_micros(F.min("h"))).first()[0]
     if lower is None:
-        lower = late.agg(F.min("_first")).first()[0]
+        lower = late.agg(F.unix_micros(F.min("_first"))).first()[0]
+    lower = at_micros(lower)
+    ordered = last.join(late, "target_name", "left_anti")
     stored = (
-        store.appended("samples", S.SAMPLE, before_batch=batch_id, since=lower.date())
+        store.appended("samples", S.SAMPLE, before_batch=batch_id, since=lower.cast("date"))
+        .where(F.col("checked_at") >= lower)
         .join(broadcast_if_small(late.select("target_name")), "target_name", "left_semi")
         .select("target_name", "checked_at", "is_up")
     )
     return ordered.select("target_name", "checked_at", "is_up").unionByName(stored)
 
 
+def _together(spark: SparkSession, steps: list[Callable[[], None]]) -> None:
+    """Run independent write steps as concurrent Spark jobs; the first error is raised."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for step in running:
+        step.result()
+
+
 def _days(df: DataFrame, column: str) -> list[str]:
     """Days touched by a batch: bounded by the backfill limit, not by its rows."""
     return [str(r[0]) for r in df.select(F.to_date(column)).distinct().collect()]
@@ -109,49 +122,67 @@ def ingest_batch(
         return
     valid, rejected = split_valid(batch)
     now = at(as_of)
-    span = valid.agg(F.min("checked_at")).first()[0]
-    known = store.appended("samples", S.SAMPLE, before_batch=batch_id, since=span.date() if span else None)
+    # Stored keys are read only for the time span of the batch: by day
+    # partition and, as every file holds one batch, by its row-group statistics.
+    known = store.appended("samples", S.SAMPLE, before_batch=batch_id)
+    first, last = valid.agg(F.unix_micros(F.min("checked_at")), F.unix_micros(F.max("checked_at"))).first()
+    if first is not None:
+        lo, hi = at_micros(first), at_micros(last)
+        known = store.appended("samples", S.SAMPLE, before_batch=batch_id, since=lo.cast("date"))
+        known = known.where(F.col("checked_at").between(lo, hi))
     fresh = ops.dedup_new_rows(valid, known)
     store.stage_append("samples", fresh.sortWithinPartitions("target_name", "checked_at"), "checked_at", batch_id)
     store.stage_append("rejected", rejected.withColumn("seen_at", now), "seen_at", batch_id)
     new_rows = store.batch_rows("samples", S.SAMPLE, batch_id)
     days = _days(new_rows, "checked_at")
 
-    for table, schema, unit, period in (
-        ("daily_kpi", S.DAILY_KPI, "day", "period_start"),
-        ("hourly_kpi", S.HOURLY_KPI, "hour", "period_hour"),
-    ):
+    def kpi_table(table, schema, unit, period):
         current = store.replaced(table, schema, days)
         merged = ops.merge_kpi(current, kpi.kpi_raw(new_rows, unit, slow_ms), period)
         store.stage_replace(table, merged, batch_id, day=period, days=days)
 
-    status = incremental_status_events(new_rows, _context(store, new_rows, batch_id))
-    store.stage_append("status_events", status, "event_at", batch_id)
+    def status_table():
+        status = incremental_status_events(new_rows, _context(store, new_rows, batch_id))
+        store.stage_append("status_events", status, "event_at", batch_id)
 
-    for name, schema, track, start, end in (
-        ("downtime", S.DOWNTIME_EVENT, track_downtime, "down_start", "down_end"),
-        ("latency", S.LATENCY_EVENT, track_latency, "slow_start", "slow_end"),
-    ):
-        opened, closed = track(store.replaced(f"{name}_open", schema), new_rows)
+    def incident_tables(name, schema, advance, end):
+        touched = advance(store.replaced(f"{name}_open", schema), new_rows)
+        opened, closed = split_open(store.scratch(name, touched, schema), end)
         store.stage_replace(f"{name}_open", opened, batch_id)
         store.stage_append(f"{name}_closed", closed, end, batch_id)
 
-    errors = ops.merge_errors(
-        store.replaced("daily_errors", S.DAILY_ERROR, days), kpi.daily_errors_raw(new_rows))
-    store.stage_replace("daily_errors", errors, batch_id, day="period_start", days=days)
-
-    targets = inventory.target_inventory(store.replaced("targets", S.TARGET), valid)
-    store.stage_replace("targets", inventory.deactivate(targets, valid, now, inactive_after), batch_id)
-    last = (
-        store.replaced("last_sample", S.LAST_SAMPLE)
-        .unionByName(new_rows.select(*S.LAST_SAMPLE.fieldNames()))
-        .groupBy("target_name")
-        .agg(F.max("checked_at").alias("newest"), F.max_by("is_up", "checked_at").alias("is_up"))
-        .select("target_name", F.col("newest").alias("checked_at"), "is_up")
-    )
-    store.stage_replace("last_sample", last, batch_id)
-    metrics = ops.batch_metrics(valid, new_rows, now, at(source_end) if source_end else None)
-    store.stage_append("ingest_metrics", metrics, "cycle_at", batch_id)
+    def error_table():
+        errors = ops.merge_errors(
+            store.replaced("daily_errors", S.DAILY_ERROR, days), kpi.daily_errors_raw(new_rows))
+        store.stage_replace("daily_errors", errors, batch_id, day="period_start", days=days)
+
+    def target_tables():
+        targets = inventory.target_inventory(store.replaced("targets", S.TARGET), valid)
+        store.stage_replace("targets", inventory.deactivate(targets, valid, now, inactive_after), batch_id)
+        last = (
+            store.replaced("last_sample", S.LAST_SAMPLE)
+            .unionByName(new_rows.select(*S.LAST_SAMPLE.fieldNames()))
+            .groupBy("target_name")
+            .agg(F.max("checked_at").alias("newest"), F.max_by("is_up", "checked_at").alias("is_up"))
+            .select("target_name", F.col("newest").alias("checked_at"), "is_up")
+        )
+        store.stage_replace("last_sample", last, batch_id)
+
+    def metric_table():
+        metrics = ops.batch_metrics(valid, new_rows, now, at(source_end) if source_end else None)
+        store.stage_append("ingest_metrics", metrics, "cycle_at", batch_id)
+
+    # The tables do not depend on each other before the commit, so their small
+    # jobs share the cluster instead of queueing.
+    slow = partial(advance_latency, threshold_ms=slow_ms)
+    _together(store.spark, [
+        partial(incident_tables, "downtime", S.DOWNTIME_EVENT, advance_downtime, "down_end"),
+        partial(incident_tables, "latency", S.LATENCY_EVENT, slow, "slow_end"),
+        status_table, target_tables,
+        partial(kpi_table, "daily_kpi", S.DAILY_KPI, "day", "period_start"),
+        partial(kpi_table, "hourly_kpi", S.HOURLY_KPI, "hour", "period_hour"),
+        error_table, metric_table,
+    ])
 
     def edge(n):
         return (as_of - timedelta(days=n)).date()

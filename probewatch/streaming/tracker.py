@@ -70,7 +70,7 @@ def _split_at_close(open_events: DataFrame, rows: DataFrame, start: str, last: s
     return tagged.join(hint(closing), "target_name", "left"), closing
 
 
-def _split(events: DataFrame, end: str) -> tuple[DataFrame, DataFrame]:
+def split_open(events: DataFrame, end: str) -> tuple[DataFrame, DataFrame]:
     return events.where(F.col(end).isNull()), events.where(F.col(end).isNotNull())
 
 
@@ -88,10 +88,10 @@ def _labels_or_own() -> list[Column]:
     return [chosen[c].alias(c) for c in LABELS]
 
 
-def track_downtime(
+def advance_downtime(
     open_events: DataFrame, new_rows: DataFrame, *, slice_seconds: int = SLICE_SECONDS,
-) -> tuple[DataFrame, DataFrame]:
-    """Advance downtime incidents by one batch: (still open, closed by the batch)."""
+) -> DataFrame:
+    """Downtime incidents after one batch: the open ones, and those it closed."""
     at = F.col("checked_at")
     tagged, closing = _split_at_close(open_events, new_rows, "down_start", "last_down_at", F.col("is_up") == 1)
     error_at = F.when(F.col("error_text").isNotNull(), at)
@@ -131,14 +131,14 @@ def track_downtime(
         F.col("run_last").alias("last_down_at"), "labels.*",
         "down_samples", "first_error_text", "last_error_text", "max_latency_ms",
     )
-    return _split(_cast(known, DOWNTIME_EVENT).unionByName(_cast(fresh, DOWNTIME_EVENT)), "down_end")
+    return _cast(known, DOWNTIME_EVENT).unionByName(_cast(fresh, DOWNTIME_EVENT))
 
 
-def track_latency(
+def advance_latency(
     open_events: DataFrame, new_rows: DataFrame, threshold_ms=SLOW_MS, *,
     slice_seconds: int = SLICE_SECONDS,
-) -> tuple[DataFrame, DataFrame]:
-    """Advance slow-latency incidents by one batch: (still open, closed by the batch).
+) -> DataFrame:
+    """Slow-latency incidents after one batch: the open ones, and those it closed.
 
     Open incidents of another threshold are not extended, but a row that is
     not slow closes them as well.
@@ -186,7 +186,7 @@ def track_latency(
         "max_latency_ms",
     )
     if other.isEmpty():
-        return _split(_cast(known, LATENCY_EVENT).unionByName(_cast(fresh, LATENCY_EVENT)), "slow_end")
+        return _cast(known, LATENCY_EVENT).unionByName(_cast(fresh, LATENCY_EVENT))
     ended = (
         rows.where(~F.col("_slow")).join(broadcast_if_small(
             other.select("target_name", "threshold_ms", "slow_start")), "target_name")
@@ -198,4 +198,4 @@ def track_latency(
         .withColumn("slow_end", F.col("_close")).drop("_close")
     )
     merged = _cast(known, LATENCY_EVENT).unionByName(_cast(others, LATENCY_EVENT))
-    return _split(merged.unionByName(_cast(fresh, LATENCY_EVENT)), "slow_end")
+    return merged.unionByName(_cast(fresh, LATENCY_EVENT))

@@ -12,6 +12,14 @@ from probewatch.streaming import tracker
 from tests.conftest import hm, row, when
 
 
+def track_downtime(opened, rows):
+    return tracker.split_open(tracker.advance_downtime(opened, rows), "down_end")
+
+
+def track_latency(opened, rows, *threshold):
+    return tracker.split_open(tracker.advance_latency(opened, rows, *threshold), "slow_end")
+
+
 def at(text):
     return series.at(when(text))
 
@@ -45,7 +53,7 @@ def test_null_latency_splits_but_does_not_end_a_slow_run(samples, slice_seconds)
 
 def test_null_latency_closes_an_incremental_slow_event(spark, samples):
     empty = spark.createDataFrame([], LATENCY_EVENT)
-    opened, closed = tracker.track_latency(empty, slow_rows(samples))
+    opened, closed = track_latency(empty, slow_rows(samples))
     assert opened.count() == 0
     assert sorted((hm(r.slow_start), hm(r.slow_end)) for r in closed.collect()) == [
         ("10:00:00", "10:01:00"), ("10:02:00", "10:03:00")]
@@ -69,8 +77,8 @@ def test_first_sample_down(samples):
 def test_late_down_extends_without_counting(spark, samples):
     stored = samples(row("10:00", 0), row("10:05", 0))
     late = samples(row("10:02", 0, 7, "late"))
-    opened, _ = tracker.track_downtime(spark.createDataFrame([], DOWNTIME_EVENT), stored)
-    opened, closed = tracker.track_downtime(opened, late)
+    opened, _ = track_downtime(spark.createDataFrame([], DOWNTIME_EVENT), stored)
+    opened, closed = track_downtime(opened, late)
     event = opened.first()
     assert closed.count() == 0
     assert (hm(event.down_start), hm(event.last_down_at), event.down_samples) == ("10:00:00", "10:05:00", 2)
@@ -81,8 +89,8 @@ def test_late_down_extends_without_counting(spark, samples):
 def test_late_up_closes_before_the_last_down(spark, samples):
     stored = samples(row("10:00", 0), row("10:05", 0))
     late = samples(row("10:02", 1))
-    opened, _ = tracker.track_downtime(spark.createDataFrame([], DOWNTIME_EVENT), stored)
-    opened, closed = tracker.track_downtime(opened, late)
+    opened, _ = track_downtime(spark.createDataFrame([], DOWNTIME_EVENT), stored)
+    opened, closed = track_downtime(opened, late)
     event = closed.first()
     assert opened.count() == 0
     assert (hm(event.down_end), hm(event.last_down_at)) == ("10:02:00", "10:05:00")
@@ -90,16 +98,16 @@ def test_late_up_closes_before_the_last_down(spark, samples):
 
 
 def test_late_rows_before_the_start_neither_close_nor_move_it(spark, samples):
-    opened, _ = tracker.track_downtime(spark.createDataFrame([], DOWNTIME_EVENT), samples(row("10:00", 0)))
-    opened, closed = tracker.track_downtime(opened, samples(row("09:58", 0), row("09:59", 1)))
+    opened, _ = track_downtime(spark.createDataFrame([], DOWNTIME_EVENT), samples(row("10:00", 0)))
+    opened, closed = track_downtime(opened, samples(row("09:58", 0), row("09:59", 1)))
     event = opened.first()
     assert closed.count() == 0 and hm(event.down_start) == "10:00:00" and event.down_samples == 1
 
 
 def test_one_batch_closes_and_opens_again(spark, samples):
-    opened, _ = tracker.track_downtime(spark.createDataFrame([], DOWNTIME_EVENT), samples(row("10:00", 0)))
+    opened, _ = track_downtime(spark.createDataFrame([], DOWNTIME_EVENT), samples(row("10:00", 0)))
     batch = samples(row("10:01", 0, 9, "x"), row("10:02", 1), row("10:03", 0), row("10:04", 1), row("10:05", 0))
-    opened, closed = tracker.track_downtime(opened, batch)
+    opened, closed = track_downtime(opened, batch)
     assert sorted((hm(r.down_start), hm(r.down_end), r.down_samples, r.first_error_text, r.last_error_text)
                   for r in closed.collect()) == [
         ("10:00:00", "10:02:00", 2, None, "x"), ("10:03:00", "10:04:00", 1, None, None)]
@@ -108,14 +116,14 @@ def test_one_batch_closes_and_opens_again(spark, samples):
 
 def test_first_error_text_differs_between_modes(spark, samples):
     df = samples(row("10:00", 0), row("10:01", 0, None, "boom"))
-    opened, _ = tracker.track_downtime(spark.createDataFrame([], DOWNTIME_EVENT), df)
+    opened, _ = track_downtime(spark.createDataFrame([], DOWNTIME_EVENT), df)
     assert opened.first().first_error_text is None
     assert events.downtime_events(df).first().first_error_text == "boom"
 
 
 def test_slow_event_of_another_threshold_is_closed_not_extended(spark, samples):
-    opened, _ = tracker.track_latency(spark.createDataFrame([], LATENCY_EVENT), samples(row("10:00", 1, 9000)), 5000)
-    opened, closed = tracker.track_latency(opened, samples(row("10:01", 1, 4000), row("10:02", 1, 1)))
+    opened, _ = track_latency(spark.createDataFrame([], LATENCY_EVENT), samples(row("10:00", 1, 9000)), 5000)
+    opened, closed = track_latency(opened, samples(row("10:01", 1, 4000), row("10:02", 1, 1)))
     got = sorted((float(r.threshold_ms), hm(r.slow_start), hm(r.slow_end), r.slow_samples) for r in closed.collect())
     assert opened.count() == 0
     assert got == [(3000.0, "10:01:00", "10:02:00", 1), (5000.0, "10:00:00", "10:02:00", 1)]
