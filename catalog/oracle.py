@@ -232,10 +232,24 @@ def alert(condition: str, step: int, hold: int, cols: str = SL) -> str:
         THEN 'firing' ELSE 'pending' END AS state FROM act)"""
 
 
+TEXTS = {
+    "DBPortDown": """concat('Target ', instance, ' tidak reachable via TCP selama lebih dari 3 menit. DB Type=',
+      db_type, ', Env=', environment, '.')""",
+    "DBPortProbeSlow": """concat('Target ', instance, ' TCP probe latency lebih dari 3 detik selama 5 menit. DB Type=',
+      db_type, ', Env=', environment, '.')""",
+    "DBPortProbeScrapeFailed": "concat('Prometheus gagal mengambil hasil Blackbox untuk ', instance, ' selama lebih dari 2 menit.')",
+    "DBPortMetricsMissing": "'Seluruh metric probe_success tidak tersedia selama lebih dari 3 menit.'",
+    "WriterDown": "'The ingest writer sent no metrics for more than 1 minute.'",
+    "WriterCycleFailed": "'Ingest cycles failed for more than 1 minute.'",
+    "WriterIngestStale": "'No ingest cycle succeeded for more than 3 minutes.'",
+    "WriterBackfillBehind": "'The ingest backlog stayed above 5 minutes for at least 5 minutes.'",
+}
+
+
 def alert_out(name: str, severity: str, category: str, summary: str, cols: str = SL) -> str:
     sep = f"{cols}, " if cols else ""
     return f"""SELECT '{name}' AS alert_name, '{severity}' AS severity, '{category}' AS category, 'dba' AS alert_team,
-      {sep}eval_time, active_at, state, {summary} AS summary FROM states"""
+      {sep}eval_time, active_at, state, {summary} AS summary, {TEXTS[name]} AS description FROM states"""
 
 
 METRICS = """metrics AS (

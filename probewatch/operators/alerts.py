@@ -15,13 +15,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from probewatch.operators.series import (
-    MICRO, Grid, absent_over_time, compare, duration_series, eval_time,
+    MICRO, POINTS_PER_SLICE, Grid, absent_over_time, compare, duration_series, eval_time,
     instant_vector, seconds_since, success_series, vector_and,
 )
 from probewatch.schemas import LOOKBACK_SECONDS, SERIES_LABELS
 
-POINTS_PER_SLICE = 240
-
 
 def _segments(condition: DataFrame, grid: Grid, labels: Sequence[str]) -> DataFrame:
     """Stretches of consecutive grid points per slice, with the activation's first point.
@@ -98,26 +96,39 @@ class Rule:
     team: str = "dba"
     summary: str = ""
     summary_labels: tuple[str, ...] = ()
+    description: str = ""
+    description_labels: tuple[str, ...] = ()
     labels: tuple[str, ...] = field(default=tuple(SERIES_LABELS))
 
 
 # Rule names, hold times, severities, categories and texts.
 PORT_DOWN = Rule("DBPortDown", 180, "critical", "database",
-                 summary="DB port down: %s", summary_labels=("target_name",))
+                 summary="DB port down: %s", summary_labels=("target_name",),
+                 description="Target %s tidak reachable via TCP selama lebih dari 3 menit. DB Type=%s, Env=%s.",
+                 description_labels=("instance", "db_type", "environment"))
 PROBE_SLOW = Rule("DBPortProbeSlow", 300, "warning", "database",
-                  summary="DB port probe slow: %s", summary_labels=("target_name",))
+                  summary="DB port probe slow: %s", summary_labels=("target_name",),
+                  description="Target %s TCP probe latency lebih dari 3 detik selama 5 menit. DB Type=%s, Env=%s.",
+                  description_labels=("instance", "db_type", "environment"))
 SCRAPE_FAILED = Rule("DBPortProbeScrapeFailed", 120, "critical", "monitoring",
-                     summary="DB port probe scrape failed: %s", summary_labels=("target_name",))
+                     summary="DB port probe scrape failed: %s", summary_labels=("target_name",),
+                     description="Prometheus gagal mengambil hasil Blackbox untuk %s selama lebih dari 2 menit.",
+                     description_labels=("instance",))
 METRICS_MISSING = Rule("DBPortMetricsMissing", 60, "critical", "monitoring",
-                       summary="All DB port probe metrics are missing", labels=())
+                       summary="All DB port probe metrics are missing", labels=(),
+                       description="Seluruh metric probe_success tidak tersedia selama lebih dari 3 menit.")
 WRITER_DOWN = Rule("WriterDown", 60, "critical", "ingest",
-                   summary="Ingest writer is down", labels=("instance",))
+                   summary="Ingest writer is down", labels=("instance",),
+    description="The ingest writer sent no metrics for more than 1 minute.")
 CYCLE_FAILED = Rule("WriterCycleFailed", 60, "critical", "ingest",
-                    summary="Ingest is failing", labels=("instance",))
+                    summary="Ingest is failing", labels=("instance",),
+    description="Ingest cycles failed for more than 1 minute.")
 INGEST_STALE = Rule("WriterIngestStale", 60, "critical", "ingest",
-                    summary="Ingest is stale", labels=("instance",))
+                    summary="Ingest is stale", labels=("instance",),
+    description="No ingest cycle succeeded for more than 3 minutes.")
 BACKFILL_BEHIND = Rule("WriterBackfillBehind", 300, "warning", "ingest",
-                       summary="Ingest has a backfill backlog", labels=("instance",))
+                       summary="Ingest has a backfill backlog", labels=("instance",),
+    description="The ingest backlog stayed above 5 minutes for at least 5 minutes.")
 SLOW_SECONDS = 3
 ABSENT_WINDOW_SECONDS = 180
 STALE_SECONDS = 180
@@ -126,14 +137,14 @@ BACKLOG_SECONDS = 300
 
 def annotate(alerts: DataFrame, rule: Rule) -> DataFrame:
     """Attach the rule's name, labels and text."""
-    text = (
-        F.format_string(rule.summary, *[F.col(c) for c in rule.summary_labels])
-        if rule.summary_labels else F.lit(rule.summary)
-    )
+    def text(pattern, names):
+        return F.format_string(pattern, *[F.col(c) for c in names]) if names else F.lit(pattern)
+
     return alerts.select(
         F.lit(rule.name).alias("alert_name"), F.lit(rule.severity).alias("severity"),
         F.lit(rule.category).alias("category"), F.lit(rule.team).alias("alert_team"),
-        *alerts.columns, text.alias("summary"),
+        *alerts.columns, text(rule.summary, rule.summary_labels).alias("summary"),
+        text(rule.description, rule.description_labels).alias("description"),
     )
 
 

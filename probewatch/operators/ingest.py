@@ -136,11 +136,14 @@ def keep_events(events: DataFrame, end: str, as_of: Column, days: int = REPORT_R
 
 
 def batch_metrics(
-    fetched: DataFrame, inserted: DataFrame, as_of: Column, source_end: Column | None = None,
+    fetched: DataFrame, inserted: DataFrame, as_of: Column, backlog_seconds: int | None = None,
 ) -> DataFrame:
-    """One row of self-metrics of an ingest batch that succeeded."""
-    target = source_end if source_end is not None else as_of
-    behind = F.floor(seconds_between(target, F.col("newest"))).cast("long")
+    """One row of self-metrics of an ingest batch that succeeded.
+
+    Without a given backlog it is the age of the newest fetched sample.
+    """
+    age = F.floor(seconds_between(as_of, F.col("newest"))).cast("long")
+    behind = age if backlog_seconds is None else F.lit(backlog_seconds).cast("long")
     return (
         fetched.agg(F.count(F.lit(1)).alias("samples_fetched_last_cycle"),
                     F.max("checked_at").alias("newest"))
@@ -153,3 +156,17 @@ def batch_metrics(
             F.greatest(F.coalesce(behind, F.lit(0)), F.lit(0)).alias("backfill_remaining_seconds"),
         )
     )
+
+
+def failed_metrics(before: DataFrame, as_of: Column) -> DataFrame:
+    """Self-metrics of a failed batch: nothing moved, the last success stays."""
+    last = before.agg(
+        F.coalesce(F.max("last_success_timestamp_seconds"), F.lit(0)).alias("last_success_timestamp_seconds"),
+        F.coalesce(F.max_by("backfill_remaining_seconds", "cycle_at"), F.lit(0)).alias("backfill_remaining_seconds"),
+    )
+    none = F.lit(0).cast("long")
+    return last.select(
+        as_of.alias("cycle_at"), F.lit(0).alias("cycle_success"), "last_success_timestamp_seconds",
+        none.alias("samples_fetched_last_cycle"), none.alias("rows_inserted_last_cycle"),
+        "backfill_remaining_seconds",
+    )

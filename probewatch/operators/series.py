@@ -22,6 +22,7 @@ from probewatch.operators.slices import slice_of, state_runs
 from probewatch.schemas import GRID_STEP_SECONDS, LOOKBACK_SECONDS, SERIES_LABELS, SLICE_SECONDS
 
 MICRO = 1_000_000
+POINTS_PER_SLICE = 240
 
 
 @dataclass(frozen=True)
@@ -119,35 +120,40 @@ def _between(df: DataFrame, after: int, until: int) -> DataFrame:
 
 def instant_vector(
     df: DataFrame, grid: Grid, *, labels: Sequence[str] = SERIES_LABELS,
-    lookback: int = LOOKBACK_SECONDS, slice_seconds: int = SLICE_SECONDS,
+    lookback: int = LOOKBACK_SECONDS, points_per_slice: int = POINTS_PER_SLICE,
 ) -> DataFrame:
     """The newest sample at or before each evaluation time, within the lookback.
 
-    Each sample is valid until the next one of its series.  The next sample
-    matters only within the lookback, so a slice borrows the first samples of
-    the following slice as a halo, and one shuffle is enough.
+    Samples are first reduced to the newest one per series and grid interval,
+    on the map side already.  Such a sample stays valid on later grid points
+    until the next interval that has one.  That interval matters only within
+    the lookback, so a slice of grid points borrows the first intervals of the
+    following slice as a halo, and its size never depends on the sample rate.
     """
     labels = list(labels)
-    last = grid.origin + (grid.points - 1) * grid.step * MICRO
+    step = grid.step * MICRO
+    last = grid.origin + (grid.points - 1) * step
     df = _between(df, grid.origin - lookback * MICRO, last)
     if grid.points == 1:
         return df.groupBy(*labels).agg(F.max_by("value", "ts").alias("value")).select(
             *labels, eval_time(F.lit(0), grid).alias("eval_time"), "value"
         )
-    width = max(slice_seconds, 4 * lookback)
-    own = slice_of(F.col("ts"), width)
-    in_halo = F.unix_micros("ts") - own * F.lit(width * MICRO) < F.lit(lookback * MICRO)
-    spread = df.withColumn("_own", own).withColumn(
-        "_slice", F.explode(F.when(in_halo, F.array(own, own - 1)).otherwise(F.array(own)))
+    newest = (
+        df.groupBy(*labels, _ceil_div(F.unix_micros("ts") - grid.origin, step).alias("_k"))
+        .agg(F.unix_micros(F.max("ts")).alias("_at"), F.max_by("value", "ts").alias("value"))
     )
-    w = Window.partitionBy(*labels, "_slice").orderBy("ts")
-    us = F.unix_micros("ts")
+    reach = -(-lookback // grid.step)
+    width = max(points_per_slice, 4 * reach)
+    own = F.floor(F.col("_k") / width)
+    spread = newest.withColumn("_own", own).withColumn("_slice", F.explode(
+        F.when(F.col("_k") - own * width < reach, F.array(own, own - 1)).otherwise(F.array(own))))
+    following = F.lead("_k").over(Window.partitionBy(*labels, "_slice").orderBy("_k"))
     valid = (
-        spread.withColumn("_next", F.lead("ts").over(w)).where(F.col("_slice") == F.col("_own"))
-        .withColumn("_until", F.least(F.unix_micros("_next"), us + lookback * MICRO))
-        .withColumn("_k0", F.greatest(_ceil_div(us - grid.origin, grid.step * MICRO), F.lit(0)))
+        spread.withColumn("_next", following).where(F.col("_slice") == F.col("_own"))
+        .withColumn("_k0", F.greatest("_k", F.lit(0)))
         .withColumn("_k1", F.least(
-            _ceil_div(F.col("_until") - grid.origin, grid.step * MICRO) - 1, F.lit(grid.points - 1)))
+            F.col("_next") - 1, _ceil_div(F.col("_at") + lookback * MICRO - grid.origin, step) - 1,
+            F.lit(grid.points - 1)))
         .where(F.col("_k0") <= F.col("_k1"))
     )
     return valid.select(*labels, "value", F.explode(F.sequence("_k0", "_k1")).alias("_k")).select(

@@ -65,15 +65,15 @@ def with_previous(
         )
     )
     w = Window.partitionBy(*keys, "_slice").orderBy(ts)
-    local = sliced.withColumn("_pos", F.row_number().over(w)).withColumn(out, F.lag(value).over(w))
+    local = sliced.withColumns({"_head": F.lag(ts).over(w).isNull(), out: F.lag(value).over(w)})
     if changed_only:
-        local = local.where((F.col("_pos") == 1) | ~F.col(out).eqNullSafe(F.col(value)))
+        local = local.where(F.col("_head") | ~F.col(out).eqNullSafe(F.col(value)))
     joined = local.join(carry, [*keys, "_slice"], "left").withColumn(
-        out, F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col(out))
+        out, F.when(F.col("_head"), F.col("_carry")).otherwise(F.col(out))
     )
     if changed_only:
         joined = joined.where(~F.col(out).eqNullSafe(F.col(value)))
-    return joined.drop("_slice", "_pos", "_carry")
+    return joined.drop("_slice", "_head", "_carry")
 
 
 def state_runs(
@@ -139,13 +139,13 @@ def state_runs(
         .select(*keys, "_slice", "_slice_last", "_before_slice", "_before_state", "_origin", "_next_close")
     )
 
-    # Pass 2: runs inside each slice; only wanted rows and the rows that open
-    # a closing run go on.
+    # Pass 2: runs inside each slice.  Only wanted rows and rows that open a
+    # run are numbered; only wanted rows and openers of closing runs go on.
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(ts)
     numbered = (
-        rows.withColumn("_pos", F.row_number().over(in_slice))
-        .withColumn("_lag", F.lag("_state").over(in_slice))
-        .withColumn("_new", (F.col("_pos") == 1) | ~F.col("_lag").eqNullSafe(F.col("_state")))
+        rows.withColumns({"_head": F.lag(ts).over(in_slice).isNull(), "_lag": F.lag("_state").over(in_slice)})
+        .withColumn("_new", F.col("_head") | ~F.col("_lag").eqNullSafe(F.col("_state")))
+        .where(wanted | F.col("_new"))
         .withColumn("_run", F.sum(F.col("_new").cast("int")).over(in_slice))
         .where(wanted | (closes & F.col("_new")))
     )

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from probewatch import schemas as S
 from probewatch.operators import ingest as ops
 from probewatch.operators import inventory, kpi
-from probewatch.operators.series import at, at_micros
+from probewatch.operators.series import _micros, at, at_micros
 from probewatch.sources.constraints import split_valid
+from probewatch.sources.samples import range_window
 from probewatch.sources.documents import samples_from_documents, stream_documents
 from probewatch.streaming.store import Store
 from probewatch.streaming.tracker import (
@@ -112,7 +113,7 @@ def _days(df: DataFrame, column: str) -> list[str]:
 def ingest_batch(
     store: Store, batch: DataFrame, batch_id: int, as_of: datetime, *,
     slow_ms=S.SLOW_MS, inactive_after: int = S.INACTIVE_AFTER_SECONDS,
-    source_end: datetime | None = None, retention: bool = True,
+    backlog_seconds: int | None = None, retention: bool = True,
 ) -> None:
     """Apply one batch of probe samples to all stored tables, exactly once.
 
@@ -169,7 +170,7 @@ def ingest_batch(
         store.stage_replace("last_sample", last, batch_id)
 
     def metric_table():
-        metrics = ops.batch_metrics(valid, new_rows, now, at(source_end) if source_end else None)
+        metrics = ops.batch_metrics(valid, new_rows, now, backlog_seconds)
         store.stage_append("ingest_metrics", metrics, "cycle_at", batch_id)
 
     # The tables do not depend on each other before the commit, so their small
@@ -198,6 +199,23 @@ def ingest_batch(
             store.remove_days_before(table, edge(S.REPORT_RETENTION_DAYS))
 
 
+def ingest_cycle(store: Store, source: DataFrame, now: datetime) -> int:
+    """Pull bounded windows of a sample table up to ``now``; returns the seconds left.
+
+    The cursor is the newest stored sample or the end of the last cycle's
+    windows, whichever is later, so a long gap in the source is passed.
+    """
+    stored = ops.high_water(store.appended("samples", S.SAMPLE)).first()[0]
+    done = store.appended("ingest_metrics", S.INGEST_METRICS).agg(
+        F.max(F.unix_seconds("cycle_at") - F.col("backfill_remaining_seconds"))).first()[0]
+    end = _micros(now) // 1_000_000
+    windows, left = backfill_windows(max(stored, done or 0), end)
+    for lo, hi in windows:
+        part = range_window(source, "checked_at", at_micros(lo * 1_000_000), at_micros(hi * 1_000_000))
+        ingest_batch(store, part, store.committed + 1, now, backlog_seconds=end - hi)
+    return left
+
+
 def tables(store: Store, as_of: datetime) -> dict[str, DataFrame]:
     """Stored tables by name, with exact retention edges applied."""
     now = at(as_of)
@@ -214,10 +232,17 @@ def tables(store: Store, as_of: datetime) -> dict[str, DataFrame]:
         "status_events": ops.keep_status_events(store.appended("status_events", S.STATUS_EVENT), now),
         "downtime_events": ops.keep_events(down, "down_end", now),
         "latency_events": ops.keep_events(slow, "slow_end", now),
-        "ingest_metrics": store.appended("ingest_metrics", S.INGEST_METRICS),
+        "ingest_metrics": store.appended("ingest_metrics", S.INGEST_METRICS).unionByName(
+            store.failures(S.INGEST_METRICS)),
     }
 
 
+def record_failure(store: Store, as_of: datetime) -> None:
+    """Keep the self-metrics of a failed cycle; its last success is the stored one."""
+    before = store.appended("ingest_metrics", S.INGEST_METRICS)
+    store.record_failure(ops.failed_metrics(before, at(as_of)))
+
+
 def start_ingest(
     spark: SparkSession, documents_path: str, store_root: str, checkpoint: str, *,
     clock: Callable[[], datetime], once: bool = False,
@@ -227,7 +252,11 @@ def start_ingest(
     store = Store(spark, store_root)
 
     def apply(documents: DataFrame, batch_id: int) -> None:
-        ingest_batch(store, samples_from_documents(documents), batch_id, clock())
+        try:
+            ingest_batch(store, samples_from_documents(documents), batch_id, clock())
+        except Exception:
+            record_failure(store, clock())
+            raise
 
     writer = (
         stream_documents(spark, documents_path, max_files_per_trigger)

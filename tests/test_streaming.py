@@ -120,6 +120,26 @@ def test_rejected_rows_are_kept_apart(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "s" / "rejected")).first().reason == "is_up not 0 or 1"
 
 
+def test_cycles_pass_a_long_gap_in_the_source(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    start = when("00:00")
+    source = spark.createDataFrame([row(start, 1), row(start + timedelta(hours=9), 0)], SAMPLE).cache()
+    stream.ingest_batch(store, source.where("is_up = 1"), 0, start)
+    now = start + timedelta(hours=10)
+    assert stream.ingest_cycle(store, source, now) == 4 * 3600  # six windows without a sample
+    assert stream.ingest_cycle(store, source, now) == 0
+    assert stream.tables(store, now)["samples"].count() == 2
+
+
+def test_failed_cycle_is_recorded(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    stream.ingest_batch(store, spark.createDataFrame([row("10:00", 1)], SAMPLE), 0, when("10:01"))
+    stream.record_failure(store, when("10:05"))
+    got = stream.tables(store, NOW)["ingest_metrics"].orderBy("cycle_at").collect()
+    assert [r.cycle_success for r in got] == [1, 0]
+    assert {r.last_success_timestamp_seconds for r in got} == {int(when("10:01").timestamp())}
+
+
 def test_stream_of_documents(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
