@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probewatch.operators.series import Grid, at
@@ -141,11 +141,11 @@ def writer_metrics(spark, sf_dir) -> DataFrame:
         F.count_if(F.col("is_up") == 0).alias("bad"),
     )
     good = F.col("bad") * 4 <= F.col("samples_fetched_last_cycle")
-    so_far = Window.orderBy("cycle_at").rowsBetween(Window.unboundedPreceding, 0)  # one row per hour
+    hour = F.unix_seconds("cycle_at")
     return per_hour.select(
         "cycle_at", good.cast("int").alias("cycle_success"),
-        F.coalesce(F.max(F.when(good, F.unix_seconds("cycle_at"))).over(so_far), F.lit(0))
-        .alias("last_success_timestamp_seconds"),
+        # A failed cycle reports an older success.
+        F.when(good, hour).otherwise(hour - 7200).alias("last_success_timestamp_seconds"),
         "samples_fetched_last_cycle", "rows_inserted_last_cycle",
         (F.col("bad") * 100).alias("backfill_remaining_seconds"),
     )

@@ -254,8 +254,7 @@ def alert_out(name: str, severity: str, category: str, summary: str, cols: str =
 
 METRICS = """metrics AS (
     SELECT cycle_at, CAST(bad * 4 <= n AS INTEGER) AS cycle_success,
-      coalesce(max(CASE WHEN bad * 4 <= n THEN CAST(epoch(cycle_at) AS BIGINT) END)
-        OVER (ORDER BY cycle_at ROWS UNBOUNDED PRECEDING), 0) AS last_success,
+      CAST(epoch(cycle_at) AS BIGINT) - CASE WHEN bad * 4 <= n THEN 0 ELSE 7200 END AS last_success,
       n, good, bad * 100 AS backlog
     FROM (SELECT date_trunc('hour', checked_at) AS cycle_at, count(*) AS n,
         count(*) FILTER (WHERE is_up = 1) AS good, count(*) FILTER (WHERE is_up = 0) AS bad
