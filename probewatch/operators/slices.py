@@ -94,7 +94,7 @@ def state_runs(
     aggregates these partial results over ``local`` names.  Returns ``keys``,
     ``run_start``, ``run_last``, ``run_end``, ``_state`` and the merged names.
     """
-    rows = df.withColumn("_state", state).withColumn("_slice", slice_of(F.col(ts), slice_seconds))
+    rows = df.withColumns({"_state": state, "_slice": slice_of(F.col(ts), slice_seconds)})
     # Other rows matter by time and state only: their wide columns become NULL
     # before the shuffle.
     narrow = [*keys, ts, "_state", "_slice"]
@@ -124,19 +124,20 @@ def state_runs(
                 & F.count("_state").isin(F.lit(0), F.count(F.lit(1)))
             ).alias("_uniform"),
         )
-        .withColumn("_before_slice", F.lag("_slice").over(per_key))
-        .withColumn("_before_state", F.lag("_last_state").over(per_key))
-        .withColumn(
-            "_starts_tail",
-            ~F.col("_uniform") | F.col("_before_slice").isNull()
-            | ~F.col("_first_state").eqNullSafe(F.col("_before_state")),
-        )
-        .withColumn(
-            "_origin",
-            F.last(F.when(F.col("_starts_tail"), F.col("_slice")), ignorenulls=True).over(before),
-        )
-        .withColumn("_next_close", F.min("_first_close").over(after))
-        .select(*keys, "_slice", "_slice_last", "_before_slice", "_before_state", "_origin", "_next_close")
+        .withColumns({
+            "_before_slice": F.lag("_slice").over(per_key),
+            "_before_state": F.lag("_last_state").over(per_key),
+        })
+    )
+    # Slices whose last run began inside them.
+    starts_tail = (
+        ~F.col("_uniform") | F.col("_before_slice").isNull()
+        | ~F.col("_first_state").eqNullSafe(F.col("_before_state"))
+    )
+    summary = summary.select(
+        *keys, "_slice", "_slice_last", "_before_slice", "_before_state",
+        F.last(F.when(starts_tail, F.col("_slice")), ignorenulls=True).over(before).alias("_origin"),
+        F.min("_first_close").over(after).alias("_next_close"),
     )
 
     # Pass 2: runs inside each slice.  Only wanted rows and rows that open a
@@ -168,11 +169,11 @@ def state_runs(
         & F.col("_before_state").eqNullSafe(F.col("_state"))
     )
     at_tail = F.col("_to") == F.col("_slice_last")
-    named = (
-        joined.withColumn("_home", F.when(continued, F.col("_origin")).otherwise(F.col("_slice")))
-        .withColumn("_no", F.when(continued | at_tail, F.lit(-1)).otherwise(F.col("_run")))
-        .withColumn("_close", F.coalesce("_local_close", "_next_close"))
-    )
+    named = joined.withColumns({
+        "_home": F.when(continued, F.col("_origin")).otherwise(F.col("_slice")),
+        "_no": F.when(continued | at_tail, F.lit(-1)).otherwise(F.col("_run")),
+        "_close": F.coalesce("_local_close", "_next_close"),
+    })
     return (
         named.groupBy(*keys, "_home", "_no")
         .agg(

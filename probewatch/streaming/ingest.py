@@ -16,8 +16,8 @@ from probewatch.operators import ingest as ops
 from probewatch.operators import inventory, kpi
 from probewatch.operators.series import _micros, at, at_micros
 from probewatch.sources.constraints import split_valid
+from probewatch.sources.documents import rejected_documents, samples_from_documents, stream_documents
 from probewatch.sources.samples import range_window
-from probewatch.sources.documents import samples_from_documents, stream_documents
 from probewatch.streaming.store import Store
 from probewatch.streaming.tracker import (
     advance_downtime, advance_latency, broadcast_if_small, incremental_status_events, split_open,
@@ -252,10 +252,17 @@ def start_ingest(
     store = Store(spark, store_root)
 
     def apply(documents: DataFrame, batch_id: int) -> None:
+        if batch_id <= store.committed:
+            return
+        now = clock()
         try:
-            ingest_batch(store, samples_from_documents(documents), batch_id, clock())
+            # Parse once: the batch is read several times below.
+            samples = store.scratch("batch", samples_from_documents(documents), S.SAMPLE)
+            bad = rejected_documents(documents).withColumn("seen_at", at(now))
+            store.stage_append("rejected_documents", bad, "seen_at", batch_id)
+            ingest_batch(store, samples, batch_id, now)
         except Exception:
-            record_failure(store, clock())
+            record_failure(store, now)
             raise
 
     writer = (

@@ -153,12 +153,14 @@ def test_stream_of_documents(spark, tmp_path):
             {"metric": {"__name__": SUCCESS_METRIC, **labels}, "values": up},
             {"metric": {"__name__": DURATION_METRIC, **labels}, "values": took}]}}
         (source / f"w{w}.json").write_text(json.dumps(doc))
+    (source / "bad.json").write_text('{"status": "error"}')
     query = stream.start_ingest(spark, str(source), str(tmp_path / "s"), str(tmp_path / "cp"),
                                 clock=lambda: NOW, once=True)
     query.awaitTermination(600)
     assert query.exception() is None
     store = Store(spark, str(tmp_path / "s"))
-    assert store.committed == 1  # 8 files, at most 6 per batch
+    assert store.committed == 1  # 9 files, at most 6 per batch
+    assert spark.read.parquet(str(tmp_path / "s" / "rejected_documents")).first().status == "error"
     tables = stream.tables(store, NOW)
     assert tables["samples"].count() == 40
     assert tables["downtime_events"].count() == 6
