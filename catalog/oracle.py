@@ -1,6 +1,6 @@
 """DuckDB SQL that computes every registered query independently.
 
-Event queries use the correlated form and full windows, time series use as-of
+Incidents are numbered by counting over whole targets, time series use as-of
 and range joins, so the plans share nothing with the Spark side.
 """
 
@@ -15,6 +15,7 @@ START = "TIMESTAMP '2024-01-01 00:00:00'"
 STORED_UNTIL = "TIMESTAMP '2024-01-21 00:00:00'"
 BATCH_FROM = "TIMESTAMP '2024-01-19 00:00:00'"
 DEFAULT = "'blackbox probe failed'"
+_SLOW = "(is_up = 1 AND latency_ms > 3000)"
 
 
 def labels(n: str) -> str:
@@ -80,8 +81,7 @@ def minutes(src: str = "samples") -> str:
       CASE WHEN min(is_up) = 1 THEN max(latency_ms) FILTER (WHERE is_up = 1) END AS max_latency_ms,
       CASE WHEN min(is_up) = 1 THEN bool_or(latency_ms > 3000) FILTER (WHERE is_up = 1 AND latency_ms IS NOT NULL)
         ELSE false END AS is_slow,
-      coalesce(list_filter(list(error_text ORDER BY checked_at) FILTER (WHERE is_up = 0),
-        lambda x: x IS NOT NULL)[1], {DEFAULT}) AS error_text,
+      coalesce(arg_min(error_text, checked_at) FILTER (WHERE is_up = 0 AND error_text IS NOT NULL), {DEFAULT}) AS error_text,
       min(checked_at) AS first_probe_at, max(checked_at) AS last_probe_at,
       min(checked_at) FILTER (WHERE is_up = 0) AS first_down_at,
       max(checked_at) FILTER (WHERE is_up = 0) AS last_down_at
@@ -149,39 +149,31 @@ def rollup(unit: str) -> str:
       db_type, environment, criticality, {_RATIOS} FROM kpi GROUP BY 1, 2, 3, 4, 5"""
 
 
-def groups(state: str) -> str:
-    return f"""ordered AS (SELECT *, {state} AS st,
-        lag({state}) OVER (PARTITION BY target_name ORDER BY checked_at) AS prev FROM samples),
-    grouped AS (SELECT *, sum(CASE WHEN prev IS DISTINCT FROM st THEN 1 ELSE 0 END)
-        OVER (PARTITION BY target_name ORDER BY checked_at) AS grp FROM ordered)"""
-
-
-def first_text(order: str, keep_null: bool = False) -> str:
-    texts = f"list(error_text ORDER BY checked_at {order})"
-    return f"{texts}[1]" if keep_null else f"list_filter({texts}, lambda x: x IS NOT NULL)[1]"
-
-
-def downtime(keep_null: bool = False) -> str:
-    return f"""{groups('is_up')},
-    periods AS (SELECT target_name, min(checked_at) AS down_start, max(checked_at) AS last_down_at, {MAXL},
-        count(*) AS down_samples, {first_text('', keep_null)} AS first_error_text,
-        {first_text('DESC')} AS last_error_text, max(latency_ms) AS max_latency_ms
-      FROM grouped WHERE is_up = 0 GROUP BY target_name, grp),
-    down AS (SELECT p.*, (SELECT min(r.checked_at) FROM samples r WHERE r.target_name = p.target_name
-        AND r.checked_at > p.last_down_at AND r.is_up = 1) AS down_end FROM periods p)"""
-
-
-def latency(state: str, closes: str) -> str:
-    return f"""{groups(state)},
-    periods AS (SELECT target_name, min(checked_at) AS slow_start, max(checked_at) AS last_slow_at, {MAXL},
-        count(*) AS slow_samples, coalesce(sum(latency_ms), 0) AS latency_ms_sum,
+def downtime(first: str = "arg_min(error_text, checked_at) FILTER (WHERE error_text IS NOT NULL)") -> str:
+    """DOWN samples of one incident have the same number of UP samples before them."""
+    return f"""placed AS (SELECT *,
+        count(*) FILTER (WHERE is_up = 1) OVER (PARTITION BY target_name ORDER BY checked_at) AS ups,
+        min(checked_at) FILTER (WHERE is_up = 1) OVER (PARTITION BY target_name ORDER BY checked_at
+          ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_up FROM samples),
+    down AS (SELECT target_name, min(checked_at) AS down_start, max(checked_at) AS last_down_at,
+        any_value(next_up) AS down_end, {MAXL}, count(*) AS down_samples, {first} AS first_error_text,
+        arg_max(error_text, checked_at) FILTER (WHERE error_text IS NOT NULL) AS last_error_text,
+        max(latency_ms) AS max_latency_ms
+      FROM placed WHERE is_up = 0 GROUP BY target_name, ups)"""
+
+
+def latency(closes: str) -> str:
+    """Slow samples of one incident have the same number of other samples before them."""
+    return f"""placed AS (SELECT *, coalesce({_SLOW}, false) AS hit,
+        count(*) FILTER (WHERE NOT coalesce({_SLOW}, false)) OVER (PARTITION BY target_name ORDER BY checked_at) AS others,
+        min(checked_at) FILTER (WHERE {closes}) OVER (PARTITION BY target_name ORDER BY checked_at
+          ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_close FROM samples),
+    slow AS (SELECT target_name, min(checked_at) AS slow_start, max(checked_at) AS last_slow_at,
+        any_value(next_close) AS slow_end, {MAXL}, count(*) AS slow_samples, sum(latency_ms) AS latency_ms_sum,
         count(latency_ms) AS latency_ms_count, max(latency_ms) AS max_latency_ms
-      FROM grouped WHERE st = true GROUP BY target_name, grp),
-    slow AS (SELECT p.*, (SELECT min(r.checked_at) FROM samples r WHERE r.target_name = p.target_name
-        AND r.checked_at > p.last_slow_at AND {closes}) AS slow_end FROM periods p)"""
+      FROM placed WHERE hit GROUP BY target_name, others)"""
 
 
-_SLOW = "(is_up = 1 AND latency_ms > 3000)"
 _DOWN_OUT = f"""SELECT target_name, down_start, down_end, last_down_at, {L}, down_samples,
     first_error_text, last_error_text, CAST(max_latency_ms AS DOUBLE) AS max_latency_ms FROM down"""
 _SLOW_OUT = f"""SELECT target_name, slow_start, slow_end, last_slow_at, CAST(3000 AS DOUBLE) AS threshold_ms, {L},
@@ -446,19 +438,18 @@ ORACLES = {
         (SELECT max(checked_at) AS m FROM samples) l"""),
     "status_events": q(SAMPLES, _STATUS_EVENTS),
     "downtime_events": q(SAMPLES, downtime(), _DOWN_OUT),
-    "latency_events": q(SAMPLES, latency(_SLOW, "NOT (r.is_up = 1 AND r.latency_ms > 3000)"), _SLOW_OUT),
+    "latency_events": q(SAMPLES, latency(f"NOT {_SLOW}"), _SLOW_OUT),
     "downtime_history": q(SAMPLES, downtime(), f"""SELECT target_name, environment, db_type, instance, criticality, team,
       down_start, down_end, last_down_at, {duration('down_start', 'down_end')}, down_samples, first_error_text,
       last_error_text, CAST(round(max_latency_ms, 2) AS DOUBLE) AS max_latency_ms FROM down"""),
-    "latency_history": q(SAMPLES, latency(_SLOW, "NOT (r.is_up = 1 AND r.latency_ms > 3000)"),
+    "latency_history": q(SAMPLES, latency(f"NOT {_SLOW}"),
       f"""SELECT target_name, environment, db_type, instance, criticality, team, CAST(3000 AS DOUBLE) AS threshold_ms,
       slow_start, slow_end, last_slow_at, {duration('slow_start', 'slow_end')}, slow_samples,
       {mean('latency_ms_sum', 'latency_ms_count')} AS avg_latency_ms,
       CAST(round(max_latency_ms, 2) AS DOUBLE) AS max_latency_ms FROM slow"""),
     "incremental_status_events": q(SAMPLES, _STATUS_EVENTS + f" AND checked_at >= {STORED_UNTIL}"),
-    "incremental_downtime_events": q(SAMPLES, downtime(keep_null=True), _DOWN_OUT),
-    "incremental_latency_events": q(SAMPLES, latency(f"coalesce({_SLOW}, false)",
-      "NOT coalesce(r.is_up = 1 AND r.latency_ms > 3000, false)"), _SLOW_OUT),
+    "incremental_downtime_events": q(SAMPLES, downtime("arg_min_null(error_text, checked_at)"), _DOWN_OUT),
+    "incremental_latency_events": q(SAMPLES, latency(f"NOT coalesce({_SLOW}, false)"), _SLOW_OUT),
     "min_over_time": q(SAMPLES, SUCCESS, _H, over("success", "min", 10800)),
     "avg_over_time": q(SAMPLES, DURATION, _H, f"SELECT * REPLACE (round(value, 10) AS value) FROM ({over('duration', 'avg', 10800)})"),
     "availability_range": q(SAMPLES, SUCCESS, _H, _SUB, _AVAIL,
