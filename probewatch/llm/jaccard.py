@@ -2,9 +2,10 @@
 
 Two sets can only reach the threshold if their prefixes (the first
 ``n - ceil(t * n) + 1`` tokens) share a token, under *every* global order of the tokens.
-One order indexes the sets; a candidate pair must also share a prefix token under each
-further order before it is verified by a full intersection.  Every order puts tokens
-that many sets hold last, so that common passages hardly ever reach a prefix.
+One order indexes the sets, and a pair must share so many tokens of its two prefixes that
+what lies behind them can still make up the rest; a candidate must also share a prefix
+token under each further order before it is verified by a full intersection.  Every order
+puts tokens that many sets hold last, so that common passages hardly ever reach a prefix.
 
 The work is linear in a group of copies: equal sets are one node, and an index entry
 with many sets links them to a few centres first.  Only sets that this leaves in
@@ -24,8 +25,10 @@ from probewatch.llm.common import components, distinct, mix, offered, settle, sh
 #: Tokens of about this many sets go last in each order; the table of them is bounded.
 HEAVY_SETS, HEAVY_IN_TASK, HEAVY_TABLE = 32, 4, 1 << 20
 #: Index entries up to this size emit all their pairs; larger ones start with centres.
-RUN, CENTRES = 24, 3
+RUN, CENTRES = 64, 3
 ORDERS = 3
+#: Rows of the candidate search: a pair with its shared prefix tokens, a centre's pair, an entry of a large run.
+PAIR, STAR, REST = 0, 1, 2
 #: Prefix tokens that one index task holds.
 BUCKET_TOKENS = 2_000_000
 #: Sets compared with one centre in one group.
@@ -142,6 +145,12 @@ def _index(width, percent, buckets, table):
     return run
 
 
+def _enough(percent: int) -> str:
+    """The shared prefix tokens and all tokens behind a prefix can make up the overlap that is needed."""
+    behind = f"greatest(({percent} * n + 99) div 100, ({percent} * m + 99) div 100) - 1"
+    return f"({100 + percent}) * (shared + {behind}) >= {percent} * (n + m)"
+
+
 def _near(n, m, percent):
     return 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
 
@@ -168,7 +177,7 @@ def _candidates(percent):
         tokens, keys, sizes = tokens[new], keys[new], sizes[new]
         edge = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]])) if len(tokens) else np.zeros(1, int)
         start, length = edge[:-1], np.diff(edge)
-        left, right = [], []
+        left, right, star_a, star_b = [], [], [], []
         for m in range(2, RUN + 1):
             at = start[length == m]
             if len(at):
@@ -185,19 +194,31 @@ def _candidates(percent):
             for r in large:
                 run_at = np.arange(start[r], start[r] + length[r])
                 for c in run_at[np.lexsort((keys[run_at], -share[run_at]))[:CENTRES]]:
-                    left.append(np.full(len(run_at) - 1, c))
-                    right.append(run_at[run_at != c])
-        left = np.concatenate(left) if left else np.empty(0, int)
-        right = np.concatenate(right) if right else np.empty(0, int)
-        keep = _near(sizes[left], sizes[right], percent)
-        left, right = left[keep], right[keep]
-        # the set with the smaller key of a small run, or the centre of a large one
-        pairs = np.unique(np.stack([keys[left], keys[right]], 1), axis=0) if len(left) else np.empty((0, 2), np.int64)
+                    star_a.append(np.full(len(run_at) - 1, c))
+                    star_b.append(run_at[run_at != c])
+
+        def near(one, other):
+            one, other = (np.concatenate(x) if x else np.empty(0, int) for x in (one, other))
+            keep = _near(sizes[one], sizes[other], percent)
+            return one[keep], other[keep]
+
+        left, right = near(left, right)
+        by = np.lexsort((keys[right], keys[left]))
+        left, right = left[by], right[by]
+        new = np.ones(len(left), bool)
+        new[1:] = (keys[left[1:]] != keys[left[:-1]]) | (keys[right[1:]] != keys[right[:-1]])
+        times = np.diff(np.append(np.flatnonzero(new), len(left)))
+        left, right = left[new], right[new]
+        star_a, star_b = near(star_a, star_b)
+        stars = np.unique(np.stack([keys[star_a], keys[star_b]], 1), axis=0) if len(star_a) else np.empty((0, 2), np.int64)
+        nothing = np.zeros(len(rest), np.int64)
         return pa.table({
-            "kind": pa.array(np.repeat([0, 1], [len(pairs), len(rest)]), pa.int32()),
-            "a": pa.array(np.concatenate([pairs[:, 0], tokens[rest].view(np.int64)]), pa.int64()),
-            "b": pa.array(np.concatenate([pairs[:, 1], keys[rest]]), pa.int64()),
-            "n": pa.array(np.concatenate([np.zeros(len(pairs), np.int64), sizes[rest]]), pa.int64())})
+            "kind": pa.array(np.repeat([PAIR, STAR, REST], [len(left), len(stars), len(rest)]), pa.int32()),
+            "a": pa.array(np.concatenate([keys[left], stars[:, 0], tokens[rest].view(np.int64)])),
+            "b": pa.array(np.concatenate([keys[right], stars[:, 1], keys[rest]])),
+            "shared": pa.array(np.concatenate([times, np.zeros(len(stars), np.int64), nothing])),
+            "n": pa.array(np.concatenate([sizes[left], np.zeros(len(stars), np.int64), sizes[rest]]).astype(np.int64)),
+            "m": pa.array(np.concatenate([sizes[right], np.zeros(len(stars), np.int64), nothing]).astype(np.int64))})
     return run
 
 
@@ -251,6 +272,7 @@ def _shared(x, y) -> int:
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int, table) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold.  A centre's pairs are dealt in chunks."""
+    # repeated document ids may bring a set twice; the links stay the same
     degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
     pairs = pairs.join(degree, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.ceil(F.col("deg") / CHUNK))).drop("deg")
     members = pairs.join(sets, pairs["b"] == sets["key"]).select("a", "chunk", "b", "tokens")
@@ -287,17 +309,22 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * (100 - percent) // 100 // BUCKET_TOKENS))
     index = texts.select("text").mapInArrow(
         _index(width, percent, buckets, table), "bucket int, keys binary, sizes binary, tokens binary, own binary")
-    found = settle(index.groupBy("bucket").applyInArrow(_candidates(percent), "kind int, a long, b long, n long"))
+    found = settle(index.groupBy("bucket").applyInArrow(
+        _candidates(percent), "kind int, a long, b long, shared long, n long, m long"))
+    counted = (found.where(F.col("kind") == PAIR).groupBy("a", "b")
+               .agg(F.sum("shared").alias("shared"), F.first("n").alias("n"), F.first("m").alias("m")))
+    stars = found.where(F.col("kind") == STAR).select("a", "b")
     # a pair may come from either side; each is verified once
-    pairs = settle(found.where("kind = 0").groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+    pairs = settle(counted.where(_enough(percent)).select("a", "b").unionByName(stars)
+                   .groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
                    .agg(F.first("a").alias("a"), F.first("b").alias("b")).select("a", "b"))
-    rest = found.where("kind = 1").select(F.col("a").alias("token"), F.col("b").alias("key"), "n")
+    rest = found.where(F.col("kind") == REST).select(F.col("a").alias("token"), F.col("b").alias("key"), "n")
 
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
     wanted = settle(wanted.unionByName(rest.select("key")).distinct().join(nodes, "key").select("key", "rep"))
     ids = offered(wanted.select("rep"), wanted.count(), 16)
     chosen = texts.join(ids, texts["doc_id"] == ids["rep"], "left_semi").unionByName(texts.where("doc_id is null"))
-    sets = settle(chosen.select("text").mapInArrow(_sets(width), "key long, tokens binary").dropDuplicates(["key"]))
+    sets = settle(chosen.select("text").mapInArrow(_sets(width), "key long, tokens binary"))
 
     edges = settle(_links(pairs, sets, percent, table))
     if rest.limit(1).count():
@@ -307,8 +334,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
         split = marked.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
         left = marked.join(split, "token")
         right = left.select("token", F.col("key").alias("key2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-        more = (left.join(right, "token").where("c < c2 and 100 * least(n, n2) >= %d * greatest(n, n2)" % percent)
-                .select(F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b")).distinct())
+        across = left.join(right, "token").where(f"c < c2 and 100 * least(n, n2) >= {percent} * greatest(n, n2)")
+        across = across.groupBy(F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b")).agg(
+            F.count(F.lit(1)).alias("often"), F.first("n").alias("n"), F.first("n2").alias("m"))
+        beside = counted.select("a", "b", F.col("shared").alias("also"))
+        more = (across.join(beside, ["a", "b"], "left").withColumn("shared", F.col("often") + F.coalesce("also", F.lit(0)))
+                .where(_enough(percent)).select("a", "b"))
         more = settle(more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
         if more.limit(1).count():
             edges = edges.unionByName(settle(_links(more, sets, percent, table)))
