@@ -52,10 +52,11 @@ def ranked(df: DataFrame, groups: list[str], order: list[str], name: str, keep:
     spark = df.sparkSession
     if keep + int(spark.conf.get("spark.sql.shuffle.partitions")) <= 1 << 20:
         counts = F.broadcast(counts)
-    same = [placed[c].eqNullSafe(counts[c]) for c in groups] + [placed["_part"] == counts["_part"]]
+    names = [f"_g{k}" for k in range(len(groups))]
+    counts = counts.toDF(*names, "_p", "_first", "_before")
+    same = [F.col(c).eqNullSafe(F.col(g)) for c, g in zip(groups, names)] + [F.col("_part") == F.col("_p")]
     joined = placed.join(counts, same)
-    return joined.select(*[placed[c] for c in df.columns],
-                         (F.col("_before") + F.col("_at") - F.col("_first")).alias(name))
+    return joined.select(*df.columns, (F.col("_before") + F.col("_at") - F.col("_first")).alias(name))
 
 
 # ---------------------------------------------------------------- words and shingles in numpy

@@ -7,10 +7,16 @@ what lies behind them can still make up the rest; a candidate must also share a
 token under each further order before it is verified by a full intersection.  Every order
 puts tokens that many sets hold last, so that common passages hardly ever reach a prefix.
 
-The work is linear in a group of copies: equal sets are one node, and an index entry
-with many sets links them to a few centres first.  Only sets that this leaves in
-different components are compared in a second round, in full, so no link between
-components is lost and no pair inside one needs to be emitted.
+The work is linear in a group of copies: equal sets are one node, and an index entry of
+a heavy token with many sets links them to a few centres first.  Only sets that this
+leaves in different components are compared in a second round, so no link between
+components is lost and no pair inside one is emitted.
+
+In that round a set only meets the smallest set of each heavy part (the heavy tokens of
+a set).  That is enough: if two linked sets share heavy prefix tokens only, their light
+tokens all lie in the prefixes and none is shared; each then links with the smallest set
+of the other's heavy part, and these two link as well.  For the same reason a pair that
+shares no light token needs an overlap within the smaller heavy part.
 """
 
 from __future__ import annotations
@@ -101,7 +107,7 @@ def _in_order(tokens, heavy, weight, order):
     """Positions of the tokens in one global order: light tokens first, then by weight."""
     at = np.minimum(np.searchsorted(heavy, tokens), max(len(heavy) - 1, 0))
     load = np.where(heavy[at] == tokens, weight[at], 0) if len(heavy) else np.zeros(len(tokens), np.int64)
-    return np.lexsort((mix(tokens, order + 1), load))
+    return np.lexsort((mix(tokens, order + 1), load)), load
 
 
 def _index(width, percent, buckets, table):
@@ -109,7 +115,7 @@ def _index(width, percent, buckets, table):
     def run(batches):
         heavy, weight = table.value
         for batch in batches:
-            keys, sizes, tokens, seen = [], [], [], set()
+            keys, sizes, parts, part_keys, tokens, seen = [], [], [], [], [], set()
             for text in batch.column(0).to_pylist():
                 all_tokens = shingle_set(text, width)
                 if not len(all_tokens):
@@ -118,9 +124,11 @@ def _index(width, percent, buckets, table):
                 if key in seen:
                     continue
                 seen.add(key)
-                order = _in_order(all_tokens, heavy, weight, 0)
+                order, load = _in_order(all_tokens, heavy, weight, 0)
                 keys.append(key)
                 sizes.append(len(all_tokens))
+                parts.append(int((load > 0).sum()))
+                part_keys.append(set_key(all_tokens[load > 0]))
                 tokens.append(all_tokens[order[:prefix_length(len(all_tokens), percent)]])
             if not keys:
                 continue
@@ -129,19 +137,18 @@ def _index(width, percent, buckets, table):
             place = (mix(flat, 99) % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(place, kind="stable")
             edge = np.searchsorted(place[by], np.arange(buckets + 1))
-            keys, sizes = np.array(keys, np.int64), np.array(sizes, np.int32)
+            about = np.array([keys, sizes, parts, part_keys], np.int64).T
             rows = []
             for b in range(buckets):
                 part = by[edge[b]:edge[b + 1]]
                 if len(part):
                     used, local = np.unique(own[part], return_inverse=True)
-                    rows.append((b, keys[used].tobytes(), sizes[used].tobytes(),
-                                 flat[part].tobytes(), local.astype(np.int32).tobytes()))
+                    rows.append((b, about[used].tobytes(), flat[part].tobytes(), local.astype(np.int32).tobytes()))
             for k in range(0, len(rows), 64):
                 bucket, *blobs = zip(*rows[k:k + 64])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket, pa.int32()), *[pa.array(x, pa.binary()) for x in blobs]],
-                    ["bucket", "keys", "sizes", "tokens", "own"])
+                    ["bucket", "sets", "tokens", "own"])
     return run
 
 
@@ -155,26 +162,29 @@ def _near(n, m, percent):
     return 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
 
 
-def _candidates(percent):
+def _candidates(percent, table):
     """Candidate pairs of one bucket, and the entries of its large runs."""
-    def run(table: pa.Table) -> pa.Table:
-        tokens, keys, sizes = [], [], []
-        for k, s, t, o in zip(*(table.column(c).to_pylist() for c in ("keys", "sizes", "tokens", "own"))):
-            own = np.frombuffer(o, np.int32)
-            tokens.append(np.frombuffer(t, np.uint64))
-            keys.append(np.frombuffer(k, np.int64)[own])
-            sizes.append(np.frombuffer(s, np.int32)[own])
-        tokens, keys, sizes = map(np.concatenate, (tokens, keys, sizes))
+    def run(rows: pa.Table) -> pa.Table:
+        tokens, sets = [], []
+        for about, token, own in zip(*(rows.column(c).to_pylist() for c in ("sets", "tokens", "own"))):
+            tokens.append(np.frombuffer(token, np.uint64))
+            sets.append(np.frombuffer(about, np.int64).reshape(-1, 4)[np.frombuffer(own, np.int32)])
+        tokens, sets = np.concatenate(tokens), np.concatenate(sets)
         by = np.argsort(tokens, kind="stable")
-        tokens, keys, sizes = tokens[by], keys[by], sizes[by]
+        tokens, sets = tokens[by], sets[by]
         same = tokens[1:] == tokens[:-1]
         many = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        tokens, keys, sizes = tokens[many], keys[many], sizes[many]
-        by = np.lexsort((keys, tokens))
-        tokens, keys, sizes = tokens[by], keys[by], sizes[by]
+        tokens, sets = tokens[many], sets[many]
+        by = np.lexsort((sets[:, 0], tokens))
+        tokens, sets = tokens[by], sets[by]
         new = np.ones(len(tokens), bool)
-        new[1:] = (tokens[1:] != tokens[:-1]) | (keys[1:] != keys[:-1])
-        tokens, keys, sizes = tokens[new], keys[new], sizes[new]
+        new[1:] = (tokens[1:] != tokens[:-1]) | (sets[1:, 0] != sets[:-1, 0])
+        tokens, sets = tokens[new], sets[new]
+        heavy = table.value[0]
+        is_heavy = heavy[np.minimum(np.searchsorted(heavy, tokens), len(heavy) - 1)] == tokens if len(heavy) else np.zeros(len(tokens), bool)
+        keys, sizes = sets[:, 0], sets[:, 1]
+        # a light token says nothing about what else is shared
+        parts, part_keys = np.where(is_heavy, sets[:, 2], sizes), np.where(is_heavy, sets[:, 3], keys)
         edge = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]])) if len(tokens) else np.zeros(1, int)
         start, length = edge[:-1], np.diff(edge)
         left, right, star_a, star_b = [], [], [], []
@@ -200,6 +210,7 @@ def _candidates(percent):
         def near(one, other):
             one, other = (np.concatenate(x) if x else np.empty(0, int) for x in (one, other))
             keep = _near(sizes[one], sizes[other], percent)
+            keep &= (100 + percent) * np.minimum(parts[one], parts[other]) >= percent * (sizes[one] + sizes[other])
             return one[keep], other[keep]
 
         left, right = near(left, right)
@@ -217,8 +228,9 @@ def _candidates(percent):
             "a": pa.array(np.concatenate([keys[left], stars[:, 0], tokens[rest].view(np.int64)])),
             "b": pa.array(np.concatenate([keys[right], stars[:, 1], keys[rest]])),
             "shared": pa.array(np.concatenate([times, np.zeros(len(stars), np.int64), nothing])),
-            "n": pa.array(np.concatenate([sizes[left], np.zeros(len(stars), np.int64), sizes[rest]]).astype(np.int64)),
-            "m": pa.array(np.concatenate([sizes[right], np.zeros(len(stars), np.int64), nothing]).astype(np.int64))})
+            "n": pa.array(np.concatenate([sizes[left], np.zeros(len(stars), np.int64), sizes[rest]])),
+            "m": pa.array(np.concatenate([sizes[right], np.zeros(len(stars), np.int64), parts[rest]])),
+            "part": pa.array(np.concatenate([np.zeros(len(left) + len(stars), np.int64), part_keys[rest]]))})
     return run
 
 
@@ -246,7 +258,7 @@ def _verify(percent, table):
 
             def prefixes(x):
                 p = prefix_length(len(x), percent)
-                return [x[_in_order(x, heavy, weight, k)[:p]] for k in range(1, ORDERS)]
+                return [x[_in_order(x, heavy, weight, k)[0][:p]] for k in range(1, ORDERS)]
 
             a = centre.column("key")[0].as_py()
             x = np.frombuffer(centre.column("tokens")[0].as_py(), np.uint64)
@@ -308,9 +320,9 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
     total = nodes.agg(F.sum("n")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * (100 - percent) // 100 // BUCKET_TOKENS))
     index = texts.select("text").mapInArrow(
-        _index(width, percent, buckets, table), "bucket int, keys binary, sizes binary, tokens binary, own binary")
+        _index(width, percent, buckets, table), "bucket int, sets binary, tokens binary, own binary")
     found = settle(index.groupBy("bucket").applyInArrow(
-        _candidates(percent), "kind int, a long, b long, shared long, n long, m long"))
+        _candidates(percent, table), "kind int, a long, b long, shared long, n long, m long, part long"))
     counted = (found.where(F.col("kind") == PAIR).groupBy("a", "b")
                .agg(F.sum("shared").alias("shared"), F.first("n").alias("n"), F.first("m").alias("m")))
     stars = found.where(F.col("kind") == STAR).select("a", "b")
@@ -318,7 +330,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
     pairs = settle(counted.where(_enough(percent)).select("a", "b").unionByName(stars)
                    .groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
                    .agg(F.first("a").alias("a"), F.first("b").alias("b")).select("a", "b"))
-    rest = found.where(F.col("kind") == REST).select(F.col("a").alias("token"), F.col("b").alias("key"), "n")
+    rest = found.where(F.col("kind") == REST).select(
+        F.col("a").alias("token"), F.col("b").alias("key"), "n", F.col("m").alias("h"), "part")
 
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
     wanted = settle(wanted.unionByName(rest.select("key")).distinct().join(nodes, "key").select("key", "rep"))
@@ -330,13 +343,19 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
     if rest.limit(1).count():
         label = components(edges)
         marked = settle(rest.join(label, rest["key"] == label["node"], "left")
-                        .select("token", "key", "n", F.coalesce("component", "key").alias("c")))
+                        .select("token", "key", "n", "h", "part", F.coalesce("component", "key").alias("c")))
         split = marked.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
         left = marked.join(split, "token")
-        right = left.select("token", F.col("key").alias("key2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-        across = left.join(right, "token").where(f"c < c2 and 100 * least(n, n2) >= {percent} * greatest(n, n2)")
-        across = across.groupBy(F.least("key", "key2").alias("a"), F.greatest("key", "key2").alias("b")).agg(
-            F.count(F.lit(1)).alias("often"), F.first("n").alias("n"), F.first("n2").alias("m"))
+        smallest = marked.groupBy("part").agg(F.min(F.struct("n", "key")).alias("least")).select(F.col("least.key").alias("key"))
+        right = left.join(smallest.distinct(), "key").select(
+            "token", F.col("key").alias("key2"), F.col("n").alias("n2"), F.col("h").alias("h2"), F.col("c").alias("c2"))
+        across = left.join(right, "token").where(
+            f"c <> c2 and 100 * least(n, n2) >= {percent} * greatest(n, n2) "
+            f"and {100 + percent} * least(h, h2) >= {percent} * (n + n2)")
+        across = across.select("token", F.when(F.col("key") < F.col("key2"), F.struct("key", "key2", "n", "n2")).otherwise(
+            F.struct(F.col("key2").alias("key"), F.col("key").alias("key2"), F.col("n2").alias("n"), F.col("n").alias("n2"))).alias("p"))
+        across = across.groupBy(F.col("p.key").alias("a"), F.col("p.key2").alias("b")).agg(
+            F.count_distinct("token").alias("often"), F.first("p.n").alias("n"), F.first("p.n2").alias("m"))
         beside = counted.select("a", "b", F.col("shared").alias("also"))
         more = (across.join(beside, ["a", "b"], "left").withColumn("shared", F.col("often") + F.coalesce("also", F.lit(0)))
                 .where(_enough(percent)).select("a", "b"))
