@@ -26,7 +26,7 @@ from probewatch.llm.common import ranked, settle
 CAPACITY = 2048
 END_ID = 0
 #: Words whose ids one Python worker remembers before it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 
 #: A text is read word by word unless a space precedes white space or the end, a line
 #: break precedes other white space, or other white space occurs.
