@@ -21,9 +21,10 @@ from pyspark.sql.window import Window
 
 from probewatch.llm.common import settle
 
-#: Trees, bits of a string, vectors of a block, queries of a tile, and the share of a
-#: block's vectors that the ascent gathers before it stops (found for recall, see README).
-TREES, BITS, BLOCK, TILE, SHARE = 48, 24, 8192, 2048, 0.35
+#: Trees, bits of a string, vectors of a block, queries of a tile, and how many vectors, as a
+#: multiple of the block's and counted once per tree, the ascent gathers before it stops
+#: (chosen for recall on vectors without clusters, see README).
+TREES, BITS, BLOCK, TILE, SHARE = 48, 24, 8192, 2048, 0.75
 
 
 def _directions(dim: int, trees: int, bits: int, seed: int = 17) -> np.ndarray:
@@ -87,7 +88,8 @@ class Forest:
 
 def nearest(forest: Forest, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, share: float = SHARE):
     """(query id, id, score) of the k best found of one block, a query itself excepted."""
-    wanted = max(int(share * len(ids) * _OVERLAP), 4 * k)
+    # so many below one tree at least that k of them are new to the query
+    wanted = max(int(share * len(ids)), min(4 * k, len(ids)) * forest.trees)
     for q, places in enumerate(forest.search(queries, wanted)):
         scores = forest.vectors[places] @ queries[q]
         found = ids[places]
@@ -101,10 +103,6 @@ def nearest(forest: Forest, ids: np.ndarray, queries: np.ndarray, query_ids: np.
         yield query_ids[q], found[best], scores[best]
 
 
-#: Candidates of several trees overlap: so many are gathered for each one that is new.
-_OVERLAP = 1.3
-
-
 def _search(k):
     def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
         out = ([], [], [])

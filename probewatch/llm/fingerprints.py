@@ -27,7 +27,9 @@ from probewatch.llm.common import mix, settle
 #: Band of document frequency, as shares of all documents, and the least number of documents.
 LOW, HIGH, LEAST = 0.0005, 0.2, 2
 #: Random lexicons: for each density (a term is in with this chance) so many subsets.
-DENSITIES, PER_DENSITY = (1.0, 1 / 4, 1 / 16, 1 / 64, 1 / 256), (1, 4, 12, 12, 12)
+DENSITIES, PER_DENSITY = (1.0, 1 / 8, 1 / 32, 1 / 128, 1 / 512, 1 / 2048), (1, 6, 10, 12, 12, 8)
+#: A density tells two texts' likeness only if at least so many of its subsets keep terms of either.
+TELLING = 3
 #: Words that a task counts before it hands the counts on.
 COUNT_WORDS = 300_000
 EMPTY = "-"
@@ -91,9 +93,23 @@ class Lexicons:
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of equal hashes among the subsets that keep terms of either; two empty ones are alike."""
-    pairs = [(x, y) for x, y in zip(a.split(","), b.split(",")) if x != EMPTY or y != EMPTY]
-    return sum(x == y for x, y in pairs) / len(pairs) if pairs else 1.0
+    """The largest share of equal hashes that one density has, among its subsets that keep terms of either.
+
+    Densities of fewer than ``TELLING`` such subsets are passed over unless none has more;
+    two empty fingerprints are alike.
+    """
+    if a == b:
+        return 1.0
+    a, b, at, best, few = a.split(","), b.split(","), 0, None, []
+    for times in PER_DENSITY:
+        pairs = [(x, y) for x, y in zip(a[at:at + times], b[at:at + times]) if x != EMPTY or y != EMPTY]
+        at += times
+        same = sum(x == y for x, y in pairs)
+        if len(pairs) >= TELLING:
+            best = max(best or 0.0, same / len(pairs))
+        elif pairs:
+            few.append((same, len(pairs)))
+    return best if best is not None else sum(s for s, _ in few) / sum(n for _, n in few)
 
 
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
