@@ -65,8 +65,11 @@ def shingles(text: Column) -> Column:
 
 def _bands(shingle_array: Column) -> Column:
     """(band, value) of every band: the least hash of the window's shingles."""
-    return F.array(*[F.struct(F.lit(k).alias("band"), F.array_min(
-        F.transform(shingle_array, lambda x, k=k: F.xxhash64(x, F.lit(k)))).alias("value")) for k in range(BANDS)])
+    def band(k):
+        least = F.array_min(F.transform(shingle_array, lambda x: F.xxhash64(x, F.lit(k))))
+        return F.struct(F.lit(k).alias("band"), least.alias("value"))
+
+    return F.array(*[band(k) for k in range(BANDS)])
 
 
 def _class(size: Column) -> Column:

