@@ -20,9 +20,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from probewatch.llm.common import mix, settle
+from probewatch.llm.common import mix
 
 #: Band of document frequency, as shares of all documents, and the least number of documents.
 LOW, HIGH, LEAST = 0.0005, 0.2, 2
@@ -114,8 +113,6 @@ def likeness(a: str, b: str) -> float:
 
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
-#: A row at the border of a partition carries its text, to be completed with its neighbour's.
-BORDER = f"{SCHEMA}, first long, last long, text string"
 
 
 def edited(text: str, following: str) -> str:
@@ -138,39 +135,45 @@ def _batch(rows, fields):
 
 _FIELDS = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
            ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
-_BORDER_FIELDS = [*_FIELDS, ("first", pa.int64()), ("last", pa.int64()), ("text", pa.string())]
 
 
 def _neighbours(table):
-    """Rows of a sorted partition with the next one's text; its first and last row keep their text."""
+    """Every row with the next one's text; a row that is only a successor ends its stretch."""
     def run(batches):
-        from pyspark import TaskContext
-        part = TaskContext.get().partitionId()
         lex = table.value
         before = None
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                text = text or ""
+            for doc_id, text, ends in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 own = lex.fingerprint(text)
-                if before is None:
-                    out.append((doc_id, None, None, own, None, None, None, part, None, text))
-                else:
-                    out.append((*_row(lex, *before, text, own), None, None, None))
-                before = (doc_id, text, own)
-            yield _batch(out, _BORDER_FIELDS)
-        if before is not None:
-            yield _batch([(before[0], None, None, before[2], None, None, None, None, part, before[1])], _BORDER_FIELDS)
+                if before is not None:
+                    out.append(_row(lex, *before, text, own))
+                before = None if ends else (doc_id, text, own)
+            yield _batch(out, _FIELDS)
     return run
 
 
-def _borders(table):
-    def run(batches):
-        lex = table.value
-        for batch in batches:
-            rows = zip(*(batch.column(k).to_pylist() for k in range(5)))
-            yield _batch([_row(lex, d, t, own, t2, own2) for d, t, own, t2, own2 in rows], _FIELDS)
-    return run
+def _with_successors(texts: DataFrame, parts: int) -> DataFrame:
+    """(doc_id, text, ends), sorted in stretches of ids; each is ended by the first row of the next.
+
+    Stretches are cut at quantiles of the ids, so rows of one id share a stretch.
+    """
+    probes = [k / parts for k in range(1, parts)]
+    cuts = sorted({int(c) for c in texts.select("doc_id").approxQuantile("doc_id", probes, 1 / (4 * parts))}) if parts > 1 else []
+    part = F.coalesce(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>"), lambda c: c <= F.col("doc_id"))), F.lit(0))
+    rows = texts.select("doc_id", "text", F.xxhash64("text").alias("tie"), F.when(F.col("doc_id").isNull(), 0).otherwise(part).alias("part"))
+    heads = sorted((r["part"], r["h"]["doc_id"], r["h"]["tie"]) for r in rows.groupBy("part").agg(F.min(F.struct("doc_id", "tie")).alias("h")).collect())
+    # one row per stretch; the first stretch follows the last
+    follow = [(heads[k - 1][0], part, doc_id, tie) for k, (part, doc_id, tie) in enumerate(heads)]
+    spark = texts.sparkSession
+    table = F.broadcast(spark.createDataFrame(follow, "ended int, head_part int, head_id long, head_tie long"))
+    first = rows.join(table, (F.col("part") == F.col("head_part")) & F.col("doc_id").eqNullSafe(F.col("head_id"))
+                      & (F.col("tie") == F.col("head_tie"))).dropDuplicates(["ended"])
+    columns = ["doc_id", "text", "tie"]
+    every = rows.select(*columns, "part", F.lit(False).alias("ends")).unionByName(
+        first.select(*columns, F.col("ended").alias("part"), F.lit(True).alias("ends")))
+    dealt = every.repartition(parts, "part").sortWithinPartitions("part", "ends", "doc_id", "tie")
+    return dealt.select("doc_id", "text", "ends")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -183,18 +186,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     extra columns are ignored; an empty table gives an empty result.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    table = docs.sparkSession.sparkContext.broadcast(Lexicons(lexicon(texts)))
-    ordered = texts.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie")
-    ordered = ordered.sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    done = settle(ordered.mapInArrow(_neighbours(table), BORDER))
-    rows = done.where("first is null and last is null").select(*[f[0] for f in _FIELDS])
-    # one first and one last row per partition: as many rows as partitions
-    firsts = done.where("first is not null").select(F.col("first").alias("part"), "text", "fingerprint")
-    turn = Window.orderBy("part")
-    firsts = firsts.select(F.row_number().over(turn).alias("k"), F.count(F.lit(1)).over(Window.partitionBy()).alias("of"),
-                           F.col("text").alias("next_text"), F.col("fingerprint").alias("next_own"))
-    firsts = firsts.withColumn("k", F.when(F.col("k") == 1, F.col("of")).otherwise(F.col("k") - 1))
-    lasts = done.where("last is not null").select(
-        "doc_id", "text", "fingerprint", F.row_number().over(Window.orderBy("last")).alias("k"))
-    pairs = lasts.join(firsts, "k").select("doc_id", "text", "fingerprint", "next_text", "next_own")
-    return rows.unionByName(pairs.mapInArrow(_borders(table), SCHEMA))
+    spark = docs.sparkSession
+    table = spark.sparkContext.broadcast(Lexicons(lexicon(texts)))
+    rows = _with_successors(texts, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.mapInArrow(_neighbours(table), SCHEMA)
