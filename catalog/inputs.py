@@ -122,6 +122,50 @@ def duration_points(spark, sf_dir) -> DataFrame:
     return both.withColumn("value", F.col("seconds").cast("string"))
 
 
+def batch_without_first_errors(spark, sf_dir) -> DataFrame:
+    """The batch as if nothing had been down on its first day."""
+    first = F.to_date("checked_at") == F.to_date(at(BATCH_FROM))
+    return batch_samples(spark, sf_dir).withColumn("is_up", F.when(first, 1).otherwise(F.col("is_up")))
+
+
+def success_points_with_bad_values(spark, sf_dir) -> DataFrame:
+    """Success samples of which some deliver text that is no state."""
+    rows = samples(spark, sf_dir).select(MILLIS().alias("ts_ms"), "instance", "error_text")
+    bad = F.when(F.col("error_text") == "probe failed 0", "1e400").when(
+        F.col("error_text") == "probe failed 1", "x").when(F.col("error_text") == "probe failed 2", "NaN")
+    marks = rows.select("ts_ms", "instance", bad.alias("bad")).where("bad is not null")
+    points = success_points(spark, sf_dir)
+    return points.join(marks, ["ts_ms", "instance"], "left").withColumn("value", F.coalesce("bad", "value")).drop("bad")
+
+
+BAD_DAY = "2024-01-10"  # the documents of this day report an error
+
+
+def range_documents(spark, sf_dir) -> DataFrame:
+    """Parsed documents of one day and one metric each, as the document source returns them."""
+    success = success_points_with_bad_values(spark, sf_dir).withColumns(
+        {"metric": F.lit("probe_success"), "arrival": F.lit(0)})
+    labels = ["db_type", "environment", "criticality", "team"]
+    known = success.select("target_name", *labels).distinct()
+    duration = duration_points(spark, sf_dir).withColumn("metric", F.lit("probe_duration_seconds")).join(known, "target_name")
+    columns = ["ts_ms", "target_name", "instance", *labels, "metric", "arrival", "value"]
+    points = success.select(*columns).unionByName(duration.select(*columns))
+    seconds = F.concat(F.floor(F.col("ts_ms") / 1000).cast("string"), F.lit("."), F.lpad((F.col("ts_ms") % 1000).cast("string"), 3, "0"))
+    point = F.struct("ts_ms", "arrival", F.array(seconds, F.col("value")).alias("pair"))
+    day = F.to_date(F.timestamp_millis("ts_ms")).cast("string")
+    series = points.groupBy("metric", day.alias("day"), "target_name", "instance", *labels).agg(
+        F.transform(F.sort_array(F.collect_list(point)), lambda p: p["pair"]).alias("values"))
+    names = {"__name__": F.col("metric"), "job": F.lit("db-port-availability"), "db_name": F.col("target_name"),
+             "instance": F.col("instance"), "db_type": F.col("db_type"), "env": F.col("environment"),
+             "criticality": F.col("criticality"), "team": F.col("team")}
+    metric = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), v)])
+    result = F.collect_list(F.struct(metric.alias("metric"), "values"))
+    return series.groupBy("metric", "day").agg(F.struct(result.alias("result")).alias("data")).select(
+        F.when(F.col("day") == BAD_DAY, "error").otherwise("success").alias("status"), "data",
+        F.lit(None).cast("string").alias("_corrupt_record"),
+        F.concat("metric", F.lit("-"), "day", F.lit(".json")).alias("source_file"))
+
+
 def raw_rows_with_errors(spark, sf_dir) -> DataFrame:
     """Samples whose columns break a constraint depending on their content."""
     text = F.col("error_text")

@@ -279,6 +279,7 @@ _STATUS = "CASE WHEN value = 1 THEN 'UP' WHEN value = 0 THEN 'DOWN' END AS statu
 _SUB = f"inner_v AS ({over('success', 'min', 3600)})"
 _RNG = "WHERE eval_time > TIMESTAMP '2024-01-01 00:00:00'"
 _AVAIL = f"""per_series AS (SELECT {SL}, avg(value) AS value FROM inner_v {_RNG} GROUP BY {SL})"""
+_ONE = "WHERE target_name = 'db-2' AND environment = 'production' AND db_type = 'oracle'"
 _DAILY = f"kpi AS ({kpi_raw('samples', 'day')})"
 _CHANGES = f"""SELECT {SL}, {AS_OF} AS eval_time,
       CAST(count(*) FILTER (WHERE p IS NOT NULL AND p <> value) AS DOUBLE) AS value
@@ -319,10 +320,10 @@ def _break(by: str, where: str = "") -> str:
     return q(HISTORY, _DAILY, f"SELECT {by}, {_RATIOS} FROM kpi {where} GROUP BY ALL")
 
 
-def _tier(unit: str, tier: str, src: str) -> str:
+def _tier(unit: str, tier: str, src: str, weight: str = "samples") -> str:
     return q(SAMPLES, src, f"""SELECT date_trunc('{unit}', period) AS period_start, target_name,
       CAST(sum(n) AS BIGINT) AS probes, CAST(sum(up) AS BIGINT) AS up_probes,
-      {pct('sum(up)', 'sum(n)')} AS availability_pct, '{tier}' AS tier FROM src GROUP BY 1, 2""")
+      {pct('sum(up)', 'sum(n)')} AS availability_pct, '{tier}' AS tier, '{weight}' AS weight FROM src GROUP BY 1, 2""")
 
 
 _BUDGET = "round(probes * 0.005, 4)"
@@ -363,7 +364,27 @@ ORACLES = {
       """SELECT (SELECT count(*) FROM m) AS normalized_minute_samples,
         (SELECT count(*) FROM nh) + (SELECT count(*) FROM oh WHERE period_hour < (SELECT min(period_hour) FROM nh)) AS hourly_kpi_rows,
         (SELECT count(*) FROM nd) + (SELECT count(*) FROM od WHERE period_start < (SELECT min(period_start) FROM nd)) AS daily_kpi_rows,
-        (SELECT count(*) FROM ne) + (SELECT count(*) FROM oe WHERE period_start < (SELECT min(period_start) FROM ne)) AS daily_error_rows"""),
+        (SELECT count(*) FROM ne) + (SELECT count(*) FROM oe
+          WHERE period_start < (SELECT CAST(min(period_minute) AS DATE) FROM m)) AS daily_error_rows"""),
+    "errors_rebuild": q(SAMPLES, STORED, f"""batch AS (SELECT * REPLACE (CASE WHEN CAST(checked_at AS DATE) = CAST({BATCH_FROM} AS DATE)
+        THEN 1 ELSE is_up END AS is_up) FROM samples WHERE checked_at >= {BATCH_FROM})""",
+      f"m AS ({minutes('batch')})", f"ne AS ({errors_norm('m')})", f"oe AS ({errors_raw('stored')})",
+      """edge AS (SELECT CAST(min(checked_at) AS DATE) AS d FROM batch)""",
+      "SELECT * FROM ne UNION ALL BY NAME SELECT * FROM oe WHERE period_start < (SELECT d FROM edge)"),
+    "documents_to_samples": q(SAMPLES, f"""SELECT make_timestamp(((epoch_us(checked_at) + 500) // 1000) * 1000) AS checked_at, target_name,
+        db_type, environment, host, port, instance, coalesce(criticality, '') AS criticality, coalesce(team, '') AS team, is_up,
+        CAST(latency_ms + CASE WHEN is_up = 0 THEN 1000 ELSE 0 END AS DOUBLE) AS latency_ms,
+        CASE WHEN is_up <> 1 THEN {DEFAULT} END AS error_text
+      FROM samples WHERE error_text IS NULL
+        AND CAST(make_timestamp(((epoch_us(checked_at) + 500) // 1000) * 1000) AS DATE) <> DATE '2024-01-10'"""),
+    "rejected_documents": q(SAMPLES, """days AS (SELECT DISTINCT k.metric, CAST(make_timestamp(((epoch_us(checked_at) + 500) // 1000) * 1000) AS DATE) AS d
+        FROM samples, (VALUES ('probe_success', true), ('probe_duration_seconds', false)) k(metric, always)
+        WHERE k.always OR latency_ms IS NOT NULL)""",
+      "SELECT concat(metric, '-', CAST(d AS VARCHAR), '.json') AS source_file, 'error' AS status FROM days WHERE d = DATE '2024-01-10'"),
+    "rejected_values": q(SAMPLES, """SELECT make_timestamp(((epoch_us(checked_at) + 500) // 1000) * 1000) AS checked_at, target_name,
+        concat('unreadable value: ', CASE error_text WHEN 'probe failed 0' THEN '1e400' WHEN 'probe failed 1' THEN 'x' ELSE 'NaN' END) AS error_text,
+        'is_up is null' AS reason
+      FROM samples WHERE error_text IN ('probe failed 0', 'probe failed 1', 'probe failed 2')"""),
     "retention_raw": q(SAMPLES, f"SELECT {_SAMPLE_OUT} FROM samples WHERE checked_at >= {AS_OF} - INTERVAL 10 DAY"),
     "retention_hourly": q(HISTORY, f"kpi AS ({kpi_raw('samples', 'hour')})",
       kpi_out("kpi", "period_hour") + f" WHERE period_hour >= {HIST} - INTERVAL 400 DAY"),
@@ -519,17 +540,17 @@ ORACLES = {
       round(value * 100, 10) AS value, {_GRADE_A.format(v='(value * 100)')} AS grade FROM per_series"""),
     "dash_target_status": _success_iv(f"SELECT *, {_STATUS} FROM v"),
     "dash_target_availability": q(SAMPLES, SUCCESS, _H, _SUB, _AVAIL,
-      f"SELECT {SL}, {AS_OF} AS eval_time, round(value * 100, 10) AS value FROM per_series"),
+      f"SELECT {SL}, {AS_OF} AS eval_time, round(value * 100, 10) AS value FROM per_series {_ONE}"),
     "dash_target_last_latency": _both(f"SELECT * REPLACE (round(value, 10) AS value), {_GRADE_L.format(v='value')} AS grade FROM d"),
-    "dash_target_status_changes": q(SAMPLES, SUCCESS, _CHANGES.format(after=BATCH_FROM)),
+    "dash_target_status_changes": q(SAMPLES, SUCCESS, f"SELECT * FROM ({_CHANGES.format(after=BATCH_FROM)}) {_ONE}"),
     "dash_target_timeline": _success_iv(f"""SELECT {SL}, value, min(eval_time) AS from_time, max(eval_time) AS last_time,
       min(nxt) FILTER (WHERE nv IS DISTINCT FROM value) AS until_time, count(*) AS points, {_STATUS}
       FROM (SELECT *, sum(CASE WHEN p IS DISTINCT FROM value THEN 1 ELSE 0 END) OVER (PARTITION BY {SL} ORDER BY eval_time) AS grp
         FROM (SELECT *, lag(value) OVER w AS p, lead(value) OVER w AS nv, lead(eval_time) OVER w AS nxt FROM v
           WINDOW w AS (PARTITION BY {SL} ORDER BY eval_time))) GROUP BY {SL}, value, grp"""),
     "dash_target_latency_history": _both("SELECT * REPLACE (round(value, 10) AS value) FROM d"),
-    "dash_target_success_history": _success_iv("SELECT * FROM v"),
-    "dash_target_down_minutes": q(SAMPLES, SUCCESS, _H, _SUB, _DOWN_MIN),
+    "dash_target_success_history": _success_iv(f"SELECT * FROM v {_ONE}"),
+    "dash_target_down_minutes": q(SAMPLES, SUCCESS, _H, _SUB, f"SELECT * FROM ({_DOWN_MIN}) {_ONE}"),
     "dash_target_metadata": q(SAMPLES, SUCCESS, grid(3600, AS_OF), f"v AS ({instant('success', 86400)})", f"SELECT {SL}, eval_time FROM v"),
     "dash_target_down_windows": _success_iv("SELECT * REPLACE (CASE WHEN value = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS value) FROM v"),
     "report_period_daily": _report("day"),
@@ -549,9 +570,13 @@ ORACLES = {
       round(m.availability_pct - p.availability_pct, 2) AS availability_change,
       m.avg_latency_ms, p.avg_latency_ms AS previous_avg_latency_ms
       FROM m LEFT JOIN m p ON p.target_name = m.target_name AND p.period_start = m.period_start - INTERVAL 1 YEAR"""),
-    "history_coverage": q(HISTORY, _DAILY, f"""SELECT target_name, count(*) AS days_present, CAST(2405 AS BIGINT) AS days_expected,
-      {pct('count(*)', '2405')} AS coverage_pct, min(period_start) AS first_day, max(period_start) AS last_day
-      FROM kpi WHERE period_start BETWEEN DATE '1995-01-01' AND DATE '2001-08-01' GROUP BY 1"""),
+    "history_coverage": q(HISTORY, _DAILY, f"""inventory AS (SELECT DISTINCT concat('db-', CAST(user_id % 8 AS VARCHAR)) AS target_name FROM events
+        WHERE ts < {STORED_UNTIL} UNION SELECT 'db-idle' UNION SELECT target_name FROM kpi
+        WHERE period_start BETWEEN DATE '1995-01-01' AND DATE '2001-08-01')""",
+      f"""SELECT i.target_name, count(period_start) AS days_present, CAST(2405 AS BIGINT) AS days_expected,
+      {pct('count(period_start)', '2405')} AS coverage_pct, min(period_start) AS first_day, max(period_start) AS last_day
+      FROM inventory i LEFT JOIN kpi ON kpi.target_name = i.target_name
+        AND period_start BETWEEN DATE '1995-01-01' AND DATE '2001-08-01' GROUP BY 1"""),
     "breakdown": _break("environment, db_type"),
     "incident_report": q(SAMPLES, downtime(), f"""c AS (SELECT *, greatest(down_start, {BATCH_FROM}) AS clipped_start,
         least(coalesce(down_end, {STORED_UNTIL}), {STORED_UNTIL}) AS clipped_end FROM down
@@ -563,12 +588,17 @@ ORACLES = {
       f"""SELECT period_start, target_name, r.probes IS NULL AS missing_raw, k.probes IS NULL AS missing_kpi,
       {', '.join(f'coalesce(r.{c}, 0) - coalesce(k.{c}, 0) AS {c}_drift' for c in
                  ['probes', 'up_probes', 'down_probes', 'slow_probes', 'latency_ms_count'])},
+      {', '.join(f'CAST(coalesce(r.{c}, 0) - coalesce(k.{c}, 0) AS DOUBLE) AS {c}_drift' for c in ['latency_ms_sum', 'max_latency_ms'])},
       r.probes IS DISTINCT FROM k.probes OR r.up_probes <> k.up_probes OR r.down_probes <> k.down_probes
-        OR r.slow_probes <> k.slow_probes OR r.latency_ms_count <> k.latency_ms_count AS has_drift
-      FROM r FULL JOIN k USING (period_start, target_name)"""),
+        OR r.slow_probes <> k.slow_probes OR r.latency_ms_count <> k.latency_ms_count
+        OR r.latency_ms_sum <> k.latency_ms_sum OR coalesce(r.max_latency_ms, 0) <> coalesce(k.max_latency_ms, 0) AS has_drift
+      FROM r FULL JOIN k USING (period_start, target_name)
+      WHERE period_start > (SELECT CAST(min(checked_at) AS DATE) FROM samples)"""),
     "ytd": _break("target_name", "WHERE period_start BETWEEN DATE '2001-01-01' AND DATE '2001-08-01'"),
     "tiered_report_minute": _tier("minute", "raw",
-      f"src AS (SELECT period_minute AS period, target_name, 1 AS n, is_up AS up FROM ({minutes()}))"),
+      "src AS (SELECT checked_at AS period, target_name, 1 AS n, CASE WHEN is_up = 1 THEN 1 ELSE 0 END AS up FROM samples)"),
+    "tiered_report_minute_weight": _tier("minute", "raw",
+      f"src AS (SELECT period_minute AS period, target_name, 1 AS n, is_up AS up FROM ({minutes()}))", "minutes"),
     "tiered_report": _tier("hour", "hourly",
       f"src AS (SELECT period_hour AS period, target_name, probes AS n, up_probes AS up FROM ({kpi_raw('samples', 'hour')}))"),
     "tiered_report_week": _tier("week", "daily",

@@ -15,6 +15,8 @@ from probewatch.operators import alerts, events, ingest, inventory, kpi, series,
 from probewatch.operators.lineage import cut_lineage
 from probewatch.plans import dashboards, recompute, reports
 from probewatch.sources import merge_success_duration, range_window, violations
+from probewatch.sources.documents import rejected_documents, samples_from_documents
+from probewatch.sources.samples import stage_to_samples
 from probewatch.streaming import tracker
 
 def NOW():
@@ -93,6 +95,8 @@ def _down_condition(spark, sf):
 
 _RULE = {"hold_seconds": I.RULE_HOLD, "lookback": I.RULE_LOOKBACK}
 _LB = {"lookback": I.LOOKBACK}
+#: What a target panel's variables select.
+_ONE = {"target_name": "db-2", "environment": "production", "db_type": "oracle"}
 
 
 def _constraint_violations(spark, sf):
@@ -103,7 +107,31 @@ def _rebuild(spark, sf, unit):
     """Stored rows counted per sample are replaced by rows counted per minute."""
     minutes = kpi.minute_samples(I.batch_samples(spark, sf))
     stored = kpi.kpi_raw(I.stored_samples(spark, sf), unit)
-    return ingest.rebuild_range(stored, kpi.kpi_norm(minutes, unit), kpi.PERIOD[unit])
+    return ingest.rebuild_range(stored, kpi.kpi_norm(minutes, unit), kpi.PERIOD[unit], minutes)
+
+
+def _errors_rebuild(spark, sf):
+    """The first raw day has no error: its stored errors go, those of older days stay."""
+    batch = I.batch_without_first_errors(spark, sf)
+    minutes = kpi.minute_samples(batch)
+    stored = kpi.daily_errors_raw(I.stored_samples(spark, sf))
+    return ingest.rebuild_range(stored, kpi.daily_errors_norm(minutes), "period_start", minutes)
+
+
+def _rejected_values(spark, sf):
+    """Samples whose delivered value is no state, with the text that was delivered."""
+    points = I.success_points_with_bad_values(spark, sf)
+    merged = stage_to_samples(merge_success_duration(points, I.duration_points(spark, sf)))
+    return violations(merged).select("checked_at", "target_name", "error_text", "reason")
+
+
+def _documents_to_samples(spark, sf):
+    """Both metrics in documents of their own, parsed and paired."""
+    return plain_samples(samples_from_documents(I.range_documents(spark, sf)))
+
+
+def plain_samples(samples):
+    return samples.where("is_up is not null")
 
 
 def _rebuild_summary(spark, sf):
@@ -145,12 +173,12 @@ def _drift(spark, sf):
     return reports.kpi_drift(I.samples(spark, sf), kpi.kpi_raw(I.stored_samples(spark, sf), "day"))
 
 
-def _tier(unit):
+def _tier(unit, weight="samples"):
     def run(spark, sf):
         samples = I.samples(spark, sf)
         return reports.tiered_report(
             samples, kpi.kpi_raw(samples, "hour"), kpi.kpi_raw(samples, "day"),
-            unit=unit, start=I.START, end=I.AS_OF, as_of=I.AS_OF)
+            unit=unit, start=I.START, end=I.AS_OF, as_of=I.AS_OF, weight=weight)
     return run
 
 
@@ -195,7 +223,11 @@ QUERIES = {
     "errors_merge_additive": _errors_merge,
     "kpi_rebuild": lambda s, d: _rebuild(s, d, "day"),
     "kpi_rebuild_hourly": lambda s, d: _rebuild(s, d, "hour"),
+    "errors_rebuild": _errors_rebuild,
     "rebuild_summary": _rebuild_summary,
+    "documents_to_samples": _documents_to_samples,
+    "rejected_documents": lambda s, d: rejected_documents(I.range_documents(s, d)).select("source_file", "status"),
+    "rejected_values": _rejected_values,
     "retention_raw": _on(ingest.keep_samples, NOW, 10),
     "retention_hourly": lambda s, d: ingest.keep_hourly(kpi.kpi_raw(I.history_samples(s, d), "hour"), HIST_NOW()),
     "retention_daily": lambda s, d: ingest.keep_daily(_history_daily(s, d), HIST_NOW()),
@@ -282,13 +314,13 @@ QUERIES = {
     "dash_current_status": _on(dashboards.current_status, series.Grid.instant(I.AS_OF), lookback=86_400),
     "dash_worst_availability": _on(dashboards.worst_availability, I.AS_OF, MONTH, step=3600),
     "dash_target_status": _on(dashboards.current_status, I.HOURS, **_LB),
-    "dash_target_availability": _on(dashboards.availability_range, I.AS_OF, MONTH, step=3600),
+    "dash_target_availability": _on(dashboards.availability_range, I.AS_OF, MONTH, step=3600, **_ONE),
     "dash_target_last_latency": _on(dashboards.last_latency, I.HOURS, **_LB),
-    "dash_target_status_changes": _on(dashboards.status_changes, I.BATCH_FROM, I.AS_OF),
+    "dash_target_status_changes": _on(dashboards.status_changes, I.BATCH_FROM, I.AS_OF, **_ONE),
     "dash_target_timeline": _on(dashboards.timeline, I.HOURS, **_LB),
     "dash_target_latency_history": _on(dashboards.latency_history, I.HOURS, **_LB),
-    "dash_target_success_history": _on(dashboards.success_history, I.HOURS, **_LB),
-    "dash_target_down_minutes": _on(dashboards.down_minutes, I.AS_OF, MONTH, step=3600),
+    "dash_target_success_history": _on(dashboards.success_history, I.HOURS, **_LB, **_ONE),
+    "dash_target_down_minutes": _on(dashboards.down_minutes, I.AS_OF, MONTH, step=3600, **_ONE),
     "dash_target_metadata": _on(dashboards.target_metadata, series.Grid.instant(I.AS_OF), lookback=86_400),
     "dash_target_down_windows": _on(dashboards.down_windows, I.HOURS, **_LB),
     # reports
@@ -301,13 +333,14 @@ QUERIES = {
     "error_budget": lambda s, d: reports.error_budget(_history_daily(s, d), 99.5),
     "yoy": lambda s, d: reports.year_over_year(_history_daily(s, d)),
     "history_coverage": lambda s, d: reports.history_coverage(
-        _history_daily(s, d), F.lit(date(1995, 1, 1)), F.lit(date(2001, 8, 1))),
+        _history_daily(s, d), F.lit(date(1995, 1, 1)), F.lit(date(2001, 8, 1)), I.targets(s, d)),
     "breakdown": lambda s, d: reports.breakdown(_history_daily(s, d), ["environment", "db_type"]),
     "incident_report": lambda s, d: reports.incident_report(
         events.downtime_events(I.samples(s, d)), series.at(I.BATCH_FROM), series.at(I.STORED_UNTIL)),
     "kpi_drift": _drift,
     "ytd": lambda s, d: reports.year_to_date(_history_daily(s, d), HIST_NOW()),
     "tiered_report_minute": _tier("minute"),
+    "tiered_report_minute_weight": _tier("minute", "minutes"),
     "tiered_report": _tier("hour"),
     "tiered_report_week": _tier("week"),
 }

@@ -12,9 +12,15 @@ from probewatch.schemas import DEC, DEFAULT_ERROR_TEXT, SLOW_MS
 COUNT_DEC = "decimal(20,0)"
 
 
+def number_of(text: Column) -> Column:
+    """Text to a finite number; NULL for other text, NaN and infinities."""
+    value = text.try_cast("double")
+    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+
+
 def ms_from_epoch(seconds: Column) -> Column:
-    """Fractional epoch seconds to whole milliseconds."""
-    return F.round(seconds * 1000).cast("long")
+    """Fractional epoch seconds to whole milliseconds; NULL where they have none."""
+    return F.round(number_of(seconds.cast("string")) * 1000).try_cast("long")
 
 
 def timestamp_from_ms(ms: Column) -> Column:
@@ -22,13 +28,13 @@ def timestamp_from_ms(ms: Column) -> Column:
 
 
 def state_from_value(value: Column) -> Column:
-    """Sample value text to the integer state."""
-    return F.floor(value.cast("double")).cast("int")
+    """Sample value text to the integer state; NULL for text that is no finite number."""
+    return F.floor(number_of(value)).try_cast("int")
 
 
 def latency_from_seconds(seconds: Column) -> Column:
-    """Probe duration in seconds to milliseconds with six decimals."""
-    return F.round(seconds.cast("double") * 1000, 6).cast(DEC)
+    """Probe duration in seconds to milliseconds with six decimals; NULL if unreadable."""
+    return F.round(number_of(seconds) * 1000, 6).try_cast(DEC)
 
 
 # Fixed pattern: everything before the last colon is the host.

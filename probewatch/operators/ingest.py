@@ -34,6 +34,11 @@ def unique_samples(batch: DataFrame) -> DataFrame:
     ])
 
 
+def within_retention(samples: DataFrame, as_of: Column, days: int = RAW_RETENTION_DAYS) -> Column:
+    """Condition of samples whose key the store still remembers."""
+    return F.to_date("checked_at") >= F.date_sub(as_of.cast("date"), days)
+
+
 def dedup_new_rows(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows of the batch whose key is not stored yet, one per key."""
     return unique_samples(batch).join(stored.select(*SAMPLE_KEY), SAMPLE_KEY, "left_anti")
@@ -76,10 +81,16 @@ def merge_errors(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     ])
 
 
-def rebuild_range(stored: DataFrame, rebuilt: DataFrame, period: str) -> DataFrame:
-    """Stored rows older than everything rebuilt, plus the rebuilt rows."""
-    edge = rebuilt.agg(F.min(period).alias("_edge"))  # one row
-    kept = stored.join(F.broadcast(edge), F.col(period) < F.col("_edge")).drop("_edge")
+def rebuild_range(stored: DataFrame, rebuilt: DataFrame, period: str, minutes: DataFrame) -> DataFrame:
+    """Stored rows of periods before the first minute, plus the rebuilt rows.
+
+    The edge comes from the minutes for every table: a rebuilt table may lack rows at the
+    edge, or altogether, as daily errors do when nothing was down.
+    """
+    first = F.min("period_minute")
+    first = F.date_trunc("hour", first) if period == "period_hour" else F.to_date(first)
+    edge = minutes.agg(first.alias("_edge"))  # one row
+    kept = stored.join(F.broadcast(edge), F.col("_edge").isNull() | (F.col(period) < F.col("_edge"))).drop("_edge")
     return kept.unionByName(rebuilt)
 
 

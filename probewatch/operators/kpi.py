@@ -26,23 +26,35 @@ def _period(unit: str, ts: Column) -> Column:
 
 def minute_samples(samples: DataFrame, slow_ms=SLOW_MS) -> DataFrame:
     """One row per (minute, target): any DOWN sample makes the minute DOWN."""
-    at, up = F.col("checked_at"), F.col("is_up") == 1
+    at, up, down = F.col("checked_at"), F.col("is_up") == 1, F.col("is_up") == 0
     latency = F.when(up, F.col("latency_ms"))
-    all_up = F.min("is_up") == 1
-    down_at = F.when(F.col("is_up") == 0, at)
-    error_at = F.when((F.col("is_up") == 0) & F.col("error_text").isNotNull(), at)
-    return samples.groupBy(
-        F.date_trunc("minute", at).alias("period_minute"), "target_name"
+    keys = ["period_minute", "target_name"]
+    # numbers only in the buffers: the texts are grouping columns here
+    partial = samples.groupBy(
+        F.date_trunc("minute", at).alias("period_minute"), "target_name", *LABELS,
+        F.when(down, F.col("error_text")).alias("_text"),
     ).agg(
+        F.min("is_up").alias("is_up"), F.sum(latency).alias("_sum"), F.count(latency).alias("_n"),
+        F.max(latency).alias("max_latency_ms"), F.count_if(latency > F.lit(slow_ms)).alias("_slow"),
+        F.min(at).alias("first_probe_at"), F.max(at).alias("last_probe_at"),
+        F.min(F.when(down, at)).alias("first_down_at"), F.max(F.when(down, at)).alias("last_down_at"),
+    )
+    all_up = F.min("is_up") == 1
+    # precisions that leave the quotient 17 digits
+    count = F.nullif(F.sum("_n").cast("decimal(10,0)"), F.lit(0).cast("decimal(10,0)"))
+    mean = (F.sum("_sum").cast("decimal(27,6)") / count).cast("decimal(24,10)")
+    text_at = F.when(F.col("_text").isNotNull(), F.col("first_down_at"))
+    out = partial.groupBy(*keys).agg(
         *[F.max(c).alias(c) for c in LABELS],
         F.min("is_up").alias("is_up"),
-        F.when(all_up, F.avg(latency)).alias("latency_ms"),
-        F.when(all_up, F.max(latency)).alias("max_latency_ms"),
-        F.when(all_up, F.bool_or(latency > F.lit(slow_ms))).otherwise(F.lit(False)).alias("is_slow"),
-        F.coalesce(F.min_by("error_text", error_at), F.lit(DEFAULT_ERROR_TEXT)).alias("error_text"),
-        F.min(at).alias("first_probe_at"), F.max(at).alias("last_probe_at"),
-        F.min(down_at).alias("first_down_at"), F.max(down_at).alias("last_down_at"),
+        F.when(all_up, mean).alias("latency_ms"),
+        F.when(all_up, F.max("max_latency_ms")).alias("max_latency_ms"),
+        F.when(~all_up, F.lit(False)).when(F.sum("_n") > 0, F.sum("_slow") > 0).alias("is_slow"),
+        F.coalesce(F.min_by("_text", text_at), F.lit(DEFAULT_ERROR_TEXT)).alias("error_text"),
+        F.min("first_probe_at").alias("first_probe_at"), F.max("last_probe_at").alias("last_probe_at"),
+        F.min("first_down_at").alias("first_down_at"), F.max("last_down_at").alias("last_down_at"),
     )
+    return out
 
 
 def _top_labels(partial: DataFrame, keys: list[str], aggs: list[Column], order: list[str]) -> DataFrame:

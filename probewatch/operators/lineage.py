@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it from there.
 
-    The folder is the session's ``spark.checkpoint.dir``.  Only where none is
-    named, as in local tests, a fresh temporary folder is used.
+    The folder is the session's ``spark.checkpoint.dir``.  Only where none is named, it lies
+    below the warehouse, which executors share as well.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="probewatch-checkpoint-"))
+        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
     return df.checkpoint()

@@ -50,9 +50,9 @@ def normalize_kpi(samples: DataFrame, hourly: DataFrame, daily: DataFrame, error
     """
     require_rows(samples)
     minutes = kpi.minute_samples(samples)
-    new_hourly = rebuild_range(hourly, kpi.kpi_norm(minutes, "hour"), "period_hour")
-    new_daily = rebuild_range(daily, kpi.kpi_norm(minutes, "day"), "period_start")
-    new_errors = rebuild_range(errors, kpi.daily_errors_norm(minutes), "period_start")
+    new_hourly = rebuild_range(hourly, kpi.kpi_norm(minutes, "hour"), "period_hour", minutes)
+    new_daily = rebuild_range(daily, kpi.kpi_norm(minutes, "day"), "period_start", minutes)
+    new_errors = rebuild_range(errors, kpi.daily_errors_norm(minutes), "period_start", minutes)
     return new_hourly, new_daily, new_errors, rebuild_summary(minutes, new_hourly, new_daily, new_errors)
 
 

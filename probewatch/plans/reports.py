@@ -67,16 +67,23 @@ def year_over_year(daily: DataFrame, by: Sequence[str] = ("target_name",)) -> Da
     )
 
 
-def history_coverage(daily: DataFrame, start: Column, end: Column) -> DataFrame:
-    """Days with data against days expected in ``[start, end]``, per target."""
+def history_coverage(daily: DataFrame, start: Column, end: Column, targets: DataFrame | None = None) -> DataFrame:
+    """Days with data against days expected in ``[start, end]``, per target.
+
+    With the inventory ``targets`` a target without any day is listed with 0 %.
+    """
     expected = F.datediff(end, start) + 1
     inside = daily.where(F.col("period_start").between(start, end))
-    return inside.groupBy("target_name").agg(
+    found = inside.groupBy("target_name").agg(
         F.count(F.lit(1)).alias("days_present"),
         F.min("period_start").alias("first_day"), F.max("period_start").alias("last_day"),
-    ).select(
-        "target_name", "days_present", expected.cast("long").alias("days_expected"),
-        availability_pct(F.col("days_present"), expected).alias("coverage_pct"),
+    )
+    if targets is not None:
+        found = targets.select("target_name").distinct().join(found, "target_name", "full")
+    present = F.coalesce("days_present", F.lit(0))
+    return found.select(
+        "target_name", present.cast("long").alias("days_present"), expected.cast("long").alias("days_expected"),
+        availability_pct(present, expected).alias("coverage_pct"),
         "first_day", "last_day",
     )
 
@@ -95,11 +102,20 @@ def incident_report(downtime: DataFrame, start: Column, end: Column) -> DataFram
 
 
 def kpi_drift(samples: DataFrame, stored_daily: DataFrame) -> DataFrame:
-    """Differences between stored daily KPI rows and those recomputed from raw samples."""
-    parts = ["probes", "up_probes", "down_probes", "slow_probes", "latency_ms_count"]
+    """Differences between stored daily KPI rows and those recomputed from raw samples.
+
+    Compared are the days that the raw tier holds in full: the day of its first sample may
+    have lost samples to retention, and older days are stored without raw samples.
+    """
+    parts = ["probes", "up_probes", "down_probes", "slow_probes", "latency_ms_count", "latency_ms_sum", "max_latency_ms"]
     keys = ["period_start", "target_name"]
-    fresh = kpi_raw(samples, "day").select(*keys, *[F.col(c).alias(f"raw_{c}") for c in parts])
-    kept = stored_daily.select(*keys, *[F.col(c).alias(f"kpi_{c}") for c in parts])
+    first = samples.agg(F.to_date(F.min("checked_at")).alias("_first"))  # one row
+
+    def inside(rows):
+        return rows.join(F.broadcast(first), F.col("period_start") > F.col("_first")).drop("_first")
+
+    fresh = inside(kpi_raw(samples, "day")).select(*keys, *[F.col(c).alias(f"raw_{c}") for c in parts])
+    kept = inside(stored_daily).select(*keys, *[F.col(c).alias(f"kpi_{c}") for c in parts])
     both = fresh.join(kept, keys, "full_outer")
 
     def diff(c):
@@ -136,17 +152,25 @@ def choose_tier(unit: str, start: datetime, as_of: datetime) -> str:
 
 def tiered_report(
     samples: DataFrame, hourly: DataFrame, daily: DataFrame, *,
-    unit: str, start: datetime, end: datetime, as_of: datetime,
+    unit: str, start: datetime, end: datetime, as_of: datetime, weight: str = "samples",
 ) -> DataFrame:
-    """Availability per target and period of ``[start, end)`` from the chosen tier."""
+    """Availability per target and period of ``[start, end)`` from the chosen tier.
+
+    ``weight`` names what the stored hourly and daily rows count, ``samples`` or (after a
+    normalisation) ``minutes``; the raw tier is counted alike, so the numbers do not depend
+    on the grain.  It is returned as a column.
+    """
+    if weight not in ("samples", "minutes"):
+        raise ValueError(f"unknown weight {weight}")
     tier = choose_tier(unit, start, as_of)
     lo, hi = at(start), at(end)
     if tier == "raw":
         inside = samples.where((F.col("checked_at") >= lo) & (F.col("checked_at") < hi))
-        minutes = minute_samples(inside)
-        rows = minutes.withColumn("_at", F.col("period_minute"))
-        rows = rows.select(
-            "_at", "target_name", F.lit(1).alias("probes"), F.col("is_up").alias("up_probes"),
+        if weight == "minutes":
+            inside = minute_samples(inside).withColumnRenamed("period_minute", "checked_at")
+        rows = inside.select(
+            F.col("checked_at").alias("_at"), "target_name", F.lit(1).alias("probes"),
+            (F.col("is_up") == 1).cast("int").alias("up_probes"),
         )
     else:
         source, name = (hourly, "period_hour") if tier == "hourly" else (daily, "period_start")
@@ -157,4 +181,4 @@ def tiered_report(
     return rows.groupBy(F.date_trunc(unit, F.col("_at")).alias("period_start"), "target_name").agg(
         F.sum("probes").alias("probes"), F.sum("up_probes").alias("up_probes"),
         availability_pct(F.sum("up_probes"), F.sum("probes")).alias("availability_pct"),
-    ).withColumn("tier", F.lit(tier))
+    ).withColumn("tier", F.lit(tier)).withColumn("weight", F.lit(weight))

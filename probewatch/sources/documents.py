@@ -51,8 +51,8 @@ def range_samples(documents: DataFrame) -> DataFrame:
     return points.select(
         F.try_element_at("labels", F.lit("__name__")).alias("metric"),
         "labels",
-        ms_from_epoch(F.col("point")[0].cast("double")).alias("ts_ms"),
-        F.col("point")[1].alias("value"),
+        ms_from_epoch(F.get("point", F.lit(0))).alias("ts_ms"),
+        F.get("point", F.lit(1)).alias("value"),
         F.struct("source_file", "series_no", "point_no").alias("arrival"),
     )
 
