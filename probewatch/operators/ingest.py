@@ -34,7 +34,7 @@ def unique_samples(batch: DataFrame) -> DataFrame:
     ])
 
 
-def within_retention(samples: DataFrame, as_of: Column, days: int = RAW_RETENTION_DAYS) -> Column:
+def within_retention(as_of: Column, days: int = RAW_RETENTION_DAYS) -> Column:
     """Condition of samples whose key the store still remembers."""
     return F.to_date("checked_at") >= F.date_sub(as_of.cast("date"), days)
 

@@ -152,6 +152,18 @@ RANGE_DOCUMENT = T.StructType([
     T.StructField("_corrupt_record", T.StringType()),
 ])
 
+#: A flat sample of one metric, as it waits for its counterpart.
+POINT = T.StructType([
+    T.StructField("metric", T.StringType()), T.StructField("ts_ms", T.LongType()),
+    *[T.StructField(c, T.StringType()) for c in (
+        "target_name", "instance", "db_type", "environment", "criticality", "team", "job", "value")],
+    T.StructField("arrival", T.StructType([
+        T.StructField("source_file", T.StringType()), T.StructField("series_no", T.IntegerType()),
+        T.StructField("point_no", T.IntegerType()),
+    ])),
+    T.StructField("alone", T.BooleanType()), T.StructField("since", T.TimestampType()),
+])
+
 STAGE_ROW = T.StructType([
     T.StructField("checked_at_ms", T.LongType()),
     T.StructField("target_name", T.StringType()),

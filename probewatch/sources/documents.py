@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probewatch.functions.scalars import ms_from_epoch
-from probewatch.schemas import DURATION_METRIC, PROBE_JOB, RANGE_DOCUMENT, SUCCESS_METRIC
+from probewatch.schemas import DURATION_METRIC, POINT, PROBE_JOB, RANGE_DOCUMENT, SUCCESS_METRIC
 from probewatch.sources.samples import merge_success_duration, stage_to_samples
 
 
@@ -78,6 +78,41 @@ def read_range_documents(spark: SparkSession, path: str, metric: str, job: str =
     return flat.where((F.col("metric") == metric) & (F.col("job") == job))
 
 
+def points_of(documents: DataFrame, as_of: Column, job: str = PROBE_JOB) -> DataFrame:
+    """Flat samples of both metrics, as they arrived at ``as_of``.
+
+    ``alone`` marks those whose document holds one metric only.
+    """
+    flat = flat_labels(range_samples(documents)).where(
+        (F.col("job") == job) & F.col("metric").isin(SUCCESS_METRIC, DURATION_METRIC) & F.col("ts_ms").isNotNull())
+    per_file = flat.groupBy(F.col("arrival.source_file").alias("_file")).agg(
+        (F.min("metric") == F.max("metric")).alias("alone"))
+    joined = flat.join(per_file, F.col("arrival.source_file") == F.col("_file"))
+    return joined.withColumn("since", as_of).select(*POINT.fieldNames())
+
+
+def pair_points(points: DataFrame, waiting: DataFrame, as_of: Column, wait_seconds: int) -> tuple[DataFrame, DataFrame]:
+    """Probe samples that are complete, and the points that go on waiting.
+
+    The documents of one window may arrive in different batches.  A success sample from a
+    document without durations waits for its duration, and a duration for its success
+    sample, until ``wait_seconds`` after they arrived; then the sample is emitted without
+    latency and the duration is dropped.
+    """
+    every = points.unionByName(waiting)
+    key = ["ts_ms", "target_name", "instance"]
+    sides = every.groupBy(*key).agg(
+        F.count_if(F.col("metric") == SUCCESS_METRIC).alias("_up"), F.count_if(F.col("metric") == DURATION_METRIC).alias("_took"))
+    known = every.join(sides, key)
+    young = as_of < F.col("since") + F.make_dt_interval(secs=F.lit(wait_seconds))
+    single = F.when(F.col("metric") == SUCCESS_METRIC, F.col("alone") & (F.col("_took") == 0)).otherwise(F.col("_up") == 0)
+    kept = known.where(young & single).select(*POINT.fieldNames())
+    ready = known.where(~(young & single))
+    samples = merge_success_duration(
+        ready.where(F.col("metric") == SUCCESS_METRIC), ready.where(F.col("metric") == DURATION_METRIC))
+    return stage_to_samples(samples), kept
+
+
 def samples_from_documents(documents: DataFrame, job: str = PROBE_JOB) -> DataFrame:
     """Documents that hold both metrics of a window to probe samples."""
     flat = flat_labels(range_samples(documents)).where(F.col("job") == job)

@@ -16,7 +16,7 @@ from probewatch.operators import ingest as ops
 from probewatch.operators import inventory, kpi
 from probewatch.operators.series import _micros, at, at_micros
 from probewatch.sources.constraints import split_valid
-from probewatch.sources.documents import rejected_documents, samples_from_documents, stream_documents
+from probewatch.sources.documents import pair_points, points_of, rejected_documents, stream_documents
 from probewatch.sources.samples import range_window
 from probewatch.streaming.store import Store
 from probewatch.streaming.tracker import (
@@ -113,16 +113,24 @@ def _days(df: DataFrame, column: str) -> list[str]:
 def ingest_batch(
     store: Store, batch: DataFrame, batch_id: int, as_of: datetime, *,
     slow_ms=S.SLOW_MS, inactive_after: int = S.INACTIVE_AFTER_SECONDS,
-    backlog_seconds: int | None = None, retention: bool = True,
+    backlog_seconds: int | None = None, retention: bool = True, begun: bool = False,
 ) -> None:
     """Apply one batch of probe samples to all stored tables, exactly once.
 
-    ``batch`` is used more than once: pass rows that are stable when read again.
+    ``batch`` is used more than once: pass rows that are stable when read again.  With
+    retention, samples of days whose keys the store no longer holds are set aside as too
+    late, as a repeated delivery of them would count twice.
     """
     if batch_id <= store.committed:
         return
+    if not begun:
+        store.begin(batch_id)
     valid, rejected = split_valid(batch)
     now = at(as_of)
+    if retention:
+        in_time = ops.within_retention(now)
+        rejected = rejected.unionByName(valid.where(~in_time).withColumn("reason", F.lit("too late")))
+        valid = valid.where(in_time)
     # Stored keys are read only for the time span of the batch: by day
     # partition and, as every file holds one batch, by its row-group statistics.
     known = store.appended("samples", S.SAMPLE, before_batch=batch_id)
@@ -205,14 +213,20 @@ def ingest_cycle(store: Store, source: DataFrame, now: datetime) -> int:
     The cursor is the newest stored sample or the end of the last cycle's
     windows, whichever is later, so a long gap in the source is passed.
     """
-    stored = ops.high_water(store.appended("samples", S.SAMPLE)).first()[0]
+    stored = ops.high_water(store.replaced("last_sample", S.LAST_SAMPLE)).first()[0]
     done = store.appended("ingest_metrics", S.INGEST_METRICS).agg(
         F.max(F.unix_seconds("cycle_at") - F.col("backfill_remaining_seconds"))).first()[0]
     end = _micros(now) // 1_000_000
     windows, left = backfill_windows(max(stored, done or 0), end)
     for lo, hi in windows:
         part = range_window(source, "checked_at", at_micros(lo * 1_000_000), at_micros(hi * 1_000_000))
-        ingest_batch(store, part, store.committed + 1, now, backlog_seconds=end - hi)
+        try:
+            # Read the source once: rows that arrive meanwhile belong to the next cycle.
+            part = store.scratch("window", part, S.SAMPLE)
+            ingest_batch(store, part, store.committed + 1, now, backlog_seconds=end - hi)
+        except Exception:
+            record_failure(store, now)
+            raise
     return left
 
 
@@ -247,8 +261,13 @@ def start_ingest(
     spark: SparkSession, documents_path: str, store_root: str, checkpoint: str, *,
     clock: Callable[[], datetime], once: bool = False,
     max_files_per_trigger: int = S.BACKFILL_CHUNKS_PER_CYCLE, interval: str = "60 seconds",
+    wait_seconds: int = S.OVERLAP_SECONDS,
 ):
-    """Start the streaming query: documents to stored tables, one commit per batch."""
+    """Start the streaming query: documents to stored tables, one commit per batch.
+
+    The documents of a window may fall into different batches: points without their
+    counterpart wait in a small table, for ``wait_seconds`` after they arrived.
+    """
     store = Store(spark, store_root)
 
     def apply(documents: DataFrame, batch_id: int) -> None:
@@ -256,11 +275,15 @@ def start_ingest(
             return
         now = clock()
         try:
+            store.begin(batch_id)
             # Parse once: the batch is read several times below.
-            samples = store.scratch("batch", samples_from_documents(documents), S.SAMPLE)
+            points = store.scratch("points", points_of(documents, at(now)), S.POINT)
+            ready, waiting = pair_points(points, store.replaced("waiting_points", S.POINT), at(now), wait_seconds)
+            samples = store.scratch("batch", ready, S.SAMPLE)
+            store.stage_replace("waiting_points", waiting, batch_id)
             bad = rejected_documents(documents).withColumn("seen_at", at(now))
             store.stage_append("rejected_documents", bad, "seen_at", batch_id)
-            ingest_batch(store, samples, batch_id, now)
+            ingest_batch(store, samples, batch_id, now, begun=True)
         except Exception:
             record_failure(store, now)
             raise

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import timedelta
 from decimal import Decimal
 
@@ -166,6 +167,75 @@ def test_stream_of_documents(spark, tmp_path):
     assert tables["downtime_events"].count() == 6
 
 
+@pytest.mark.parametrize("cap, durations_first", [(1, True), (3, False), (8, False)])
+def test_documents_of_a_window_may_arrive_apart(spark, tmp_path, cap, durations_first):
+    source = tmp_path / "in"
+    source.mkdir()
+    base = int(when("10:00").timestamp())
+    labels = {"db_name": "a", "db_type": "mysql", "env": "prod", "job": "db-port-availability", "instance": "h:1"}
+    for w in range(3):
+        points = [base + 60 * i for i in range(5 * w, 5 * w + 5)]
+        bad = {0: ["NaN", "1"], 1: ["x", "1"], 2: ["1"]}[w]  # the last point of a window is malformed
+        values = [[t, "1"] for t in points[:4]] + [[points[4], *bad[:1]] if w < 2 else [points[4]]]
+        for k, (metric, rows) in enumerate([(SUCCESS_METRIC, values), (DURATION_METRIC, [[t, "4.5"] for t in points])]):
+            doc = {"status": "success", "data": {"result": [{"metric": {"__name__": metric, **labels}, "values": rows}]}}
+            name = source / f"{metric}-{w}.json"
+            name.write_text(json.dumps(doc))
+            order = base + (w * 2 + (1 - k if durations_first else k))
+            os.utime(name, (order, order))
+    query = stream.start_ingest(spark, str(source), str(tmp_path / "s"), str(tmp_path / "cp"), clock=lambda: NOW,
+                                once=True, max_files_per_trigger=cap)
+    query.awaitTermination(600)
+    assert query.exception() is None
+    tables = stream.tables(Store(spark, str(tmp_path / "s")), NOW)
+    assert tables["samples"].where("latency_ms = 4500 and is_up = 1").count() == tables["samples"].count() == 12
+    assert [r.slow_samples for r in tables["latency_events"].collect()] == [12]
+    rejected = spark.read.parquet(str(tmp_path / "s" / "rejected"))
+    assert sorted(r.error_text for r in rejected.collect()) == [
+        "unreadable value: NaN", "unreadable value: none", "unreadable value: x"]
+
+
+def test_a_retry_after_midnight_leaves_one_attempt(spark, tmp_path):
+    batch = spark.createDataFrame([row("10:00", 1), row("10:01", 5)], SAMPLE)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    broken = Store(spark, str(tmp_path / "s"))
+    broken.commit = fail
+    with pytest.raises(RuntimeError):
+        stream.ingest_batch(broken, batch, 0, NOW)
+    later = NOW + timedelta(minutes=2)
+    stream.ingest_batch(Store(spark, str(tmp_path / "s")), batch, 0, later)
+    store = Store(spark, str(tmp_path / "s"))
+    assert stream.tables(store, later)["ingest_metrics"].count() == 1
+    assert spark.read.parquet(str(tmp_path / "s" / "rejected")).count() == 1
+
+
+def test_delivery_after_retention_counts_once(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    batch = spark.createDataFrame([row("10:00", 1)], SAMPLE)
+    stream.ingest_batch(store, batch, 0, NOW)
+    later = NOW + timedelta(days=40)
+    stream.ingest_batch(store, batch, 1, later)
+    assert [r.probes for r in stream.tables(store, later)["daily_kpi"].collect()] == [1]
+    assert spark.read.parquet(str(tmp_path / "s" / "rejected")).first().reason == "too late"
+
+
+def test_rebuild_without_errors_keeps_older_and_drops_stale_ones(spark, samples):
+    stored = kpi.daily_errors_raw(samples(row(when("10:00", day=8), 0), row(when("10:00", day=9), 0), row("10:00", 0)))
+    from probewatch.operators.ingest import rebuild_range
+    quiet = kpi.minute_samples(samples(row(when("11:00", day=9), 1), row("11:00", 1)))
+    left = rebuild_range(stored, kpi.daily_errors_norm(quiet), "period_start", quiet)
+    assert [r.period_start.day for r in left.collect()] == [8]
+
+
+def test_minutes_are_hashed(samples):
+    plan = kpi.minute_samples(samples(row("10:00", 1)))._jdf.queryExecution().executedPlan().toString()
+    scan_side = plan[plan.rindex("SortAggregate"):]
+    assert "HashAggregate" in scan_side and plan.count("SortAggregate") == 2  # over labels, after the hashed step
+
+
 def test_deduplicated_and_windowed_streams(spark, tmp_path):
     rows = [row("10:00", 1), row("10:01", 0), row("10:01", 0), row("11:00", 1), row("12:30", 1)]
     spark.createDataFrame(rows, SAMPLE).write.parquet(str(tmp_path / "in"))
