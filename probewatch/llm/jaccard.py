@@ -29,14 +29,14 @@ from pyspark.sql import functions as F
 from probewatch.llm.common import components, distinct, mix, offered, settle, shingle_set
 
 #: Tokens of about this many sets go last in each order; the table of them is bounded.
-HEAVY_SETS, HEAVY_IN_TASK, HEAVY_TABLE = 32, 4, 1 << 20
+HEAVY_SETS, HEAVY_IN_TASK, HEAVY_TABLE = 32, 2, 1 << 20
 #: Index entries up to this size emit all their pairs; larger ones start with centres.
 RUN, CENTRES = 64, 3
 ORDERS = 3
 #: Rows of the candidate search: a pair with its shared prefix tokens, a centre's pair, an entry of a large run.
 PAIR, STAR, REST = 0, 1, 2
 #: Prefix tokens that one index task holds.
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 1_500_000
 #: Sets compared with one centre in one group.
 CHUNK = 256
 
@@ -110,6 +110,10 @@ def _in_order(tokens, heavy, weight, order):
     return np.lexsort((mix(tokens, order + 1), load)), load
 
 
+#: What an index entry knows of its set: key, size, and size and key of its heavy part.
+_ABOUT = ("keys", "sizes", "parts", "part_keys")
+
+
 def _index(width, percent, buckets, table):
     """Prefix tokens of each batch, one row for each bucket: bytes of the arrays."""
     def run(batches):
@@ -126,10 +130,13 @@ def _index(width, percent, buckets, table):
                 seen.add(key)
                 order, load = _in_order(all_tokens, heavy, weight, 0)
                 keys.append(key)
+                prefix = order[:prefix_length(len(all_tokens), percent)]
                 sizes.append(len(all_tokens))
-                parts.append(int((load > 0).sum()))
-                part_keys.append(set_key(all_tokens[load > 0]))
-                tokens.append(all_tokens[order[:prefix_length(len(all_tokens), percent)]])
+                tokens.append(all_tokens[prefix])
+                # the heavy part counts only where a prefix reaches it
+                reached = load[prefix[-1]] > 0
+                parts.append(int((load > 0).sum()) if reached else 0)
+                part_keys.append(set_key(all_tokens[load > 0]) if reached else 0)
             if not keys:
                 continue
             own = np.repeat(np.arange(len(keys), dtype=np.int32), [len(t) for t in tokens])
@@ -137,18 +144,20 @@ def _index(width, percent, buckets, table):
             place = (mix(flat, 99) % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(place, kind="stable")
             edge = np.searchsorted(place[by], np.arange(buckets + 1))
-            about = np.array([keys, sizes, parts, part_keys], np.int64).T
+            # a column each: those of small numbers and zeros take hardly any room in the shuffle
+            about = [np.array(x, kind) for x, kind in (
+                (keys, np.int64), (sizes, np.int32), (parts, np.int32), (part_keys, np.int64))]
             rows = []
             for b in range(buckets):
                 part = by[edge[b]:edge[b + 1]]
                 if len(part):
                     used, local = np.unique(own[part], return_inverse=True)
-                    rows.append((b, about[used].tobytes(), flat[part].tobytes(), local.astype(np.int32).tobytes()))
+                    rows.append((b, *[x[used].tobytes() for x in about], flat[part].tobytes(), local.astype(np.int32).tobytes()))
             for k in range(0, len(rows), 64):
                 bucket, *blobs = zip(*rows[k:k + 64])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket, pa.int32()), *[pa.array(x, pa.binary()) for x in blobs]],
-                    ["bucket", "sets", "tokens", "own"])
+                    ["bucket", *_ABOUT, "tokens", "own"])
     return run
 
 
@@ -165,16 +174,19 @@ def _near(n, m, percent):
 def _candidates(percent, table):
     """Candidate pairs of one bucket, and the entries of its large runs."""
     def run(rows: pa.Table) -> pa.Table:
-        tokens, sets = [], []
-        for about, token, own in zip(*(rows.column(c).to_pylist() for c in ("sets", "tokens", "own"))):
+        tokens, own, before = [], [], 0
+        for key, token, place in zip(*(rows.column(c).to_pylist() for c in ("keys", "tokens", "own"))):
             tokens.append(np.frombuffer(token, np.uint64))
-            sets.append(np.frombuffer(about, np.int64).reshape(-1, 4)[np.frombuffer(own, np.int32)])
-        tokens, sets = np.concatenate(tokens), np.concatenate(sets)
+            own.append(np.frombuffer(place, np.int32) + before)
+            before += len(key) // 8
+        tokens, own = np.concatenate(tokens), np.concatenate(own)
         by = np.argsort(tokens, kind="stable")
-        tokens, sets = tokens[by], sets[by]
+        tokens, own = tokens[by], own[by]
         same = tokens[1:] == tokens[:-1]
         many = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        tokens, sets = tokens[many], sets[many]
+        tokens, own = tokens[many], own[many]
+        sets = np.stack([np.frombuffer(b"".join(rows.column(c).to_pylist()), kind).astype(np.int64)
+                         for c, kind in zip(_ABOUT, (np.int64, np.int32, np.int32, np.int64))], 1)[own]
         by = np.lexsort((sets[:, 0], tokens))
         tokens, sets = tokens[by], sets[by]
         new = np.ones(len(tokens), bool)
@@ -197,10 +209,9 @@ def _candidates(percent, table):
         large = np.flatnonzero(length > RUN)
         rest = np.concatenate([np.arange(start[r], start[r] + length[r]) for r in large]) if len(large) else np.empty(0, int)
         if len(large):
-            # a set that shares most of its tokens is likely near to the origin of its copies
-            known, where, times = np.unique(keys[rest], return_inverse=True, return_counts=True)
-            share = np.zeros(len(keys))
-            share[rest] = times[where] / sizes[rest]
+            # copies with edits have light tokens of their own, their origin has hardly any; the
+            # choice depends on the set alone, so all runs of a group choose the same centres
+            share = parts / sizes
             for r in large:
                 run_at = np.arange(start[r], start[r] + length[r])
                 for c in run_at[np.lexsort((keys[run_at], -share[run_at]))[:CENTRES]]:
@@ -311,16 +322,17 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
     scanned = settle(texts.mapInArrow(_scan(width), "kind int, doc_id long, n long, key long"))
     rows = scanned.where("kind = 0").select("doc_id", "n", "key")
     heavy = (scanned.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n"))
-             .where(F.col("n") >= HEAVY_SETS).orderBy(F.desc("n"), "key").limit(HEAVY_TABLE).collect())
-    heavy_keys = np.array([r["key"] for r in heavy], np.int64).view(np.uint64)
+             .where(F.col("n") >= HEAVY_SETS).orderBy(F.desc("n"), "key").limit(HEAVY_TABLE).toPandas())
+    heavy_keys = heavy["key"].to_numpy(np.int64).view(np.uint64)
     by = np.argsort(heavy_keys)
-    table = spark.sparkContext.broadcast((heavy_keys[by], np.array([r["n"] for r in heavy], np.int64)[by]))
+    table = spark.sparkContext.broadcast((heavy_keys[by], heavy["n"].to_numpy(np.int64)[by]))
 
     nodes = settle(rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")))
     total = nodes.agg(F.sum("n")).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * (100 - percent) // 100 // BUCKET_TOKENS))
+    # by the number of prefix tokens: every bucket repeats what it knows of a set
+    buckets = max(4, -(-total * (100 - percent) // 100 // BUCKET_TOKENS))
     index = texts.select("text").mapInArrow(
-        _index(width, percent, buckets, table), "bucket int, sets binary, tokens binary, own binary")
+        _index(width, percent, buckets, table), f"bucket int, {', '.join(f'{c} binary' for c in _ABOUT)}, tokens binary, own binary")
     found = settle(index.groupBy("bucket").applyInArrow(
         _candidates(percent, table), "kind int, a long, b long, shared long, n long, m long, part long"))
     counted = (found.where(F.col("kind") == PAIR).groupBy("a", "b")
