@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -49,14 +50,15 @@ class Pieces:
                 self.score[piece] = model.get_score(k)
                 self.text.append(piece.replace(MARK, " ").encode())
         # pieces that merges never build are no last pieces
-        self.built = {p for p in self.rank if len(p) == 1 or self.merge(p) == [p]}
+        self.built = {p: k for p, k in self.rank.items() if len(p) == 1 or self.merge(p) == [p]}
+        self.name = {k: p for p, k in self.built.items()}
         #: lengths of the longer pieces that end with two characters, longest first
         lengths: dict[str, set[int]] = {}
         for p in self.built:
             if len(p) > 1:
                 lengths.setdefault(p[-2:], set()).add(len(p))
         self.lengths = {end: sorted(n, reverse=True) for end, n in lengths.items()}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
 
     def merge(self, word: str) -> list[str]:
@@ -73,53 +75,55 @@ class Pieces:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def fits(self, left: str, right: str) -> bool:
+    def fits(self, left: int, right: int) -> bool:
         """The two pieces stay apart when they stand alone."""
-        pair = (left, right)
-        known = self.pairs.get(pair)
-        if known is None:
-            if len(self.pairs) >= CACHE_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[pair] = self.merge(left + right) == [left, right]
+        if len(self.pairs) >= CACHE_PAIRS:
+            self.pairs.clear()
+        left_piece, right_piece = self.name[left], self.name[right]
+        known = self.pairs[left << 32 | right] = self.merge(left_piece + right_piece) == [left_piece, right_piece]
         return known
 
     def learn(self, words) -> None:
         """Walk the trie of the words and remember the ids of each."""
-        before, states = "", [None]
-        built, lengths, pairs, fits = self.built, self.lengths, self.pairs, self.fits
+        built, lengths, pairs, fits = self.built.get, self.lengths.get, self.pairs, self.fits
+        known_pair = pairs.get
+        before, last, sizes = "", [0], [0]  # of each prefix: its last piece and the length of that
         for word in sorted(words):
-            shared = 0
-            limit = min(len(word), len(before))
+            shared, limit = 0, min(len(word), len(before))
             while shared < limit and word[shared] == before[shared]:
                 shared += 1
-            del states[shared + 1:]
+            del last[shared + 1:], sizes[shared + 1:]
             for end in range(shared + 1, len(word) + 1):
-                last = word[end - 1]  # alone if no longer piece fits; an unknown character stands for itself
-                for length in lengths.get(word[end - 2:end], ()) if end > 1 else ():
-                    if length > end:
-                        continue
-                    piece = word[end - length:end]
-                    if piece in built:
-                        if length == end:
-                            last = piece
-                            break
-                        pair = (states[end - length], piece)
-                        known = pairs.get(pair)
-                        if known or known is None and fits(*pair):
-                            last = piece
-                            break
-                states.append(last)
+                piece, size = built(word[end - 1], -1), 1  # if no longer piece fits; -1 is an unknown character
+                if end > 1:
+                    for length in lengths(word[end - 2:end], ()):
+                        if length > end:
+                            continue
+                        right = built(word[end - length:end])
+                        if right is None:
+                            continue
+                        if length < end:
+                            left = last[end - length]
+                            if left >= 0:
+                                fit = known_pair(left << 32 | right)
+                                if fit is None:
+                                    fit = fits(left, right)
+                                if not fit:
+                                    continue
+                        piece, size = right, length
+                        break
+                last.append(piece)
+                sizes.append(size)
             before = word
             ids, end = [], len(word)
             while end:
-                piece = states[end]
-                k = self.rank.get(piece)
-                if k is None:
-                    ids.extend(self.bytes[b] for b in reversed(piece.encode("utf-8", "surrogatepass")))
+                if last[end] >= 0:
+                    ids.append(last[end])
                 else:
-                    ids.append(k)
-                end -= len(piece)
-            self.words[word] = np.array(ids[::-1], "<i4").tobytes()
+                    ids.extend(self.bytes[b] for b in reversed(word[end - 1].encode("utf-8", "surrogatepass")))
+                end -= sizes[end]
+            ids.reverse()
+            self.words[word] = array("i", ids).tobytes()
 
     def split(self, text: str) -> list[str]:
         """Marked words: a run of marks and what follows it, cut at line breaks as well."""
