@@ -101,7 +101,8 @@ class Rule:
     labels: tuple[str, ...] = field(default=tuple(SERIES_LABELS))
 
 
-# Rule names, hold times, severities, categories and texts.
+# Names, hold times, severities, categories and texts of the four probe rules,
+# hold times and severities of the four writer rules; names and texts of the latter are our own.
 PORT_DOWN = Rule("DBPortDown", 180, "critical", "database",
                  summary="DB port down: %s", summary_labels=("target_name",),
                  description="Target %s tidak reachable via TCP selama lebih dari 3 menit. DB Type=%s, Env=%s.",

@@ -57,7 +57,10 @@ def deactivate(targets: DataFrame, batch: DataFrame, as_of: Column,
 
 def missing_recent_targets(targets: DataFrame, samples: DataFrame, as_of: Column,
                            within_seconds: int = RECENT_SECONDS) -> DataFrame:
-    """Active targets without a sample in the last minutes."""
+    """Active targets without a sample in the last minutes.
+
+    ``samples`` may be a table of each target's last sample, which spares the raw scan.
+    """
     last = samples.groupBy("target_name").agg(F.max("checked_at").alias("last_probe_at"))
     silent = F.col("last_probe_at").isNull() | (F.col("last_probe_at") < _before(as_of, within_seconds))
     return (
@@ -71,7 +74,10 @@ def missing_recent_targets(targets: DataFrame, samples: DataFrame, as_of: Column
 
 def ingest_health(targets: DataFrame, samples: DataFrame, as_of: Column,
                   within_seconds: int = RECENT_SECONDS) -> DataFrame:
-    """Active, recent and missing target counts, and the ingest lag."""
+    """Active, recent and missing target counts, and the ingest lag.
+
+    ``samples`` may be a table of each target's last sample, which spares the raw scan.
+    """
     active = targets.where("is_active").agg(F.count(F.lit(1)).alias("active_target_count"))
     per_target = samples.groupBy("target_name").agg(F.max("checked_at").alias("last"))
     seen = per_target.agg(

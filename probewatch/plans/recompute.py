@@ -58,6 +58,7 @@ def normalize_kpi(samples: DataFrame, hourly: DataFrame, daily: DataFrame, error
 
 def register_views(tables: dict[str, DataFrame], as_of: Column) -> None:
     """Register the reporting and health views over stored tables by name."""
+    recent = tables.get("last_sample", tables["samples"])
     views = {
         "daily_availability": kpi.availability(tables["daily_kpi"], "day"),
         "hourly_availability": kpi.availability(tables["hourly_kpi"], "hour"),
@@ -65,8 +66,8 @@ def register_views(tables: dict[str, DataFrame], as_of: Column) -> None:
         "yearly_availability": kpi.rollup_availability(tables["daily_kpi"], "year"),
         "downtime_event_history": events.downtime_history(tables["downtime_events"], as_of),
         "latency_event_history": events.latency_history(tables["latency_events"], as_of),
-        "ingest_health": inventory.ingest_health(tables["targets"], tables["samples"], as_of),
-        "missing_recent_targets": inventory.missing_recent_targets(tables["targets"], tables["samples"], as_of),
+        "ingest_health": inventory.ingest_health(tables["targets"], recent, as_of),
+        "missing_recent_targets": inventory.missing_recent_targets(tables["targets"], recent, as_of),
     }
     for name, view in views.items():
         view.createOrReplaceTempView(name)

@@ -240,6 +240,7 @@ def tables(store: Store, as_of: datetime) -> dict[str, DataFrame]:
     return {
         "samples": ops.keep_samples(store.appended("samples", S.SAMPLE), now),
         "targets": store.replaced("targets", S.TARGET),
+        "last_sample": store.replaced("last_sample", S.LAST_SAMPLE),
         "daily_kpi": ops.keep_daily(store.replaced("daily_kpi", S.DAILY_KPI), now),
         "hourly_kpi": ops.keep_hourly(store.replaced("hourly_kpi", S.HOURLY_KPI), now),
         "daily_errors": ops.keep_daily(store.replaced("daily_errors", S.DAILY_ERROR), now),
