@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from probewatch.llm.common import components, distinct, mix, offered, settle, shingle_set
 
 #: Tokens of about this many sets go last in each order; the table of them is bounded.
-HEAVY_SETS, HEAVY_IN_TASK, HEAVY_TABLE = 32, 2, 1 << 20
+HEAVY_SETS, HEAVY_IN_TASK, HEAVY_TABLE = 12, 2, 1 << 20
 #: Index entries up to this size emit all their pairs; larger ones start with centres.
-RUN, CENTRES = 64, 3
+RUN, CENTRES = 24, 3
 ORDERS = 3
 #: Rows of the candidate search: a pair with its shared prefix tokens, a centre's pair, an entry of a large run.
 PAIR, STAR, REST = 0, 1, 2
@@ -209,12 +209,14 @@ def _candidates(percent, table):
         large = np.flatnonzero(length > RUN)
         rest = np.concatenate([np.arange(start[r], start[r] + length[r]) for r in large]) if len(large) else np.empty(0, int)
         if len(large):
-            # copies with edits have light tokens of their own, their origin has hardly any; the
-            # choice depends on the set alone, so all runs of a group choose the same centres
-            share = parts / sizes
+            # Copies with edits have light tokens of their own, their origin has hardly any and
+            # is about as large as they are; all runs of a group so choose about the same centres.
+            edits = 4 * (1 - parts / sizes)
             for r in large:
                 run_at = np.arange(start[r], start[r] + length[r])
-                for c in run_at[np.lexsort((keys[run_at], -share[run_at]))[:CENTRES]]:
+                usual = np.median(sizes[run_at])
+                cost = np.abs(sizes[run_at] - usual) / usual + edits[run_at]
+                for c in run_at[np.lexsort((keys[run_at], cost))[:CENTRES]]:
                     star_a.append(np.full(len(run_at) - 1, c))
                     star_b.append(run_at[run_at != c])
 
