@@ -223,9 +223,9 @@ def _candidates(percent, table):
         def near(one, other):
             one, other = (np.concatenate(x) if x else np.empty(0, int) for x in (one, other))
             keep = _near(sizes[one], sizes[other], percent)
-            keep &= (100 + percent) * np.minimum(parts[one], parts[other]) >= percent * (sizes[one] + sizes[other])
             return one[keep], other[keep]
 
+        # every shared token of a small run is counted, whatever its kind
         left, right = near(left, right)
         by = np.lexsort((keys[right], keys[left]))
         left, right = left[by], right[by]
@@ -234,6 +234,8 @@ def _candidates(percent, table):
         times = np.diff(np.append(np.flatnonzero(new), len(left)))
         left, right = left[new], right[new]
         star_a, star_b = near(star_a, star_b)
+        keep = (100 + percent) * np.minimum(parts[star_a], parts[star_b]) >= percent * (sizes[star_a] + sizes[star_b])
+        star_a, star_b = star_a[keep], star_b[keep]
         stars = np.unique(np.stack([keys[star_a], keys[star_b]], 1), axis=0) if len(star_a) else np.empty((0, 2), np.int64)
         nothing = np.zeros(len(rest), np.int64)
         return pa.table({
@@ -340,8 +342,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
     counted = (found.where(F.col("kind") == PAIR).groupBy("a", "b")
                .agg(F.sum("shared").alias("shared"), F.first("n").alias("n"), F.first("m").alias("m")))
     stars = found.where(F.col("kind") == STAR).select("a", "b")
+    # two sets may share as many more tokens as both have in large runs, which are not counted here
+    large = found.where(F.col("kind") == REST).groupBy("b").agg(F.count(F.lit(1)).alias("large"))
+    likely = (counted.join(large.toDF("a", "large_a"), "a", "left").join(large.toDF("b", "large_b"), "b", "left")
+              .withColumn("shared", F.col("shared") + F.least(F.coalesce("large_a", F.lit(0)), F.coalesce("large_b", F.lit(0)))))
     # a pair may come from either side; each is verified once
-    pairs = settle(counted.where(_enough(percent)).select("a", "b").unionByName(stars)
+    pairs = settle(likely.where(_enough(percent)).select("a", "b").unionByName(stars)
                    .groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
                    .agg(F.first("a").alias("a"), F.first("b").alias("b")).select("a", "b"))
     rest = found.where(F.col("kind") == REST).select(
