@@ -18,6 +18,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,14 +138,26 @@ _FIELDS = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa
            ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())]
 
 
+def _pack(batches):
+    """Texts compressed, as nearly all that the exchange moves is text."""
+    pack = zstandard.ZstdCompressor(level=5).compress
+    for batch in batches:
+        texts = [pack(t.encode("utf-8", "surrogatepass")) for t in batch.column(1).to_pylist()]
+        columns = [batch.column(k) for k in range(batch.num_columns)]
+        columns[1] = pa.array(texts, pa.binary())
+        yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+
 def _neighbours(table):
     """Every row with the next one's text; a row that is only a successor ends its stretch."""
     def run(batches):
         lex = table.value
+        unpack = zstandard.ZstdDecompressor().decompress
         before = None
         for batch in batches:
             out = []
             for doc_id, text, ends in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                text = unpack(text).decode("utf-8", "surrogatepass")
                 own = lex.fingerprint(text)
                 if before is not None:
                     out.append(_row(lex, *before, text, own))
@@ -172,7 +185,8 @@ def _with_successors(texts: DataFrame, parts: int) -> DataFrame:
     columns = ["doc_id", "text", "tie"]
     every = rows.select(*columns, "part", F.lit(False).alias("ends")).unionByName(
         first.select(*columns, F.col("ended").alias("part"), F.lit(True).alias("ends")))
-    dealt = every.repartition(parts, "part").sortWithinPartitions("part", "ends", "doc_id", "tie")
+    packed = every.mapInArrow(_pack, "doc_id long, text binary, tie long, part int, ends boolean")
+    dealt = packed.repartition(parts, "part").sortWithinPartitions("part", "ends", "doc_id", "tie")
     return dealt.select("doc_id", "text", "ends")
 
 

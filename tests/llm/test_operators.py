@@ -113,6 +113,22 @@ def test_jaccard_keeps_every_link_of_large_groups(spark, monkeypatch):
     assert got_components(df) == expected_components(rows)
 
 
+def test_jaccard_of_mixed_passages_equals_brute_force(spark, monkeypatch):
+    """Texts of common and rare passages, so that near pairs share tokens of every kind of run."""
+    monkeypatch.setattr(jaccard, "HEAVY_SETS", 4)
+    monkeypatch.setattr(jaccard, "RUN", 3)
+    rng = np.random.default_rng(8)
+    passages = [" ".join(f"p{k}_{i}" for i in range(rng.integers(5, 20))) for k in range(30)]
+    weights = 1 / np.arange(1, 31)
+    texts = []
+    for k in range(250):
+        parts = [passages[i] for i in sorted(rng.choice(30, rng.integers(2, 7), replace=False, p=weights / weights.sum()))]
+        texts.append(" ".join([*parts, *(f"x{k}_{i}" for i in range(rng.integers(0, 4)))]))
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got_components(df) == expected_components(rows)
+
+
 def test_components_of_long_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, k) for k in range(101, 160)] + [(200, 200)]
     got = dict(common.components(spark.createDataFrame(edges, "a long, b long")).collect())
