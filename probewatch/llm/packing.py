@@ -25,8 +25,8 @@ from probewatch.llm.common import ranked, settle
 
 CAPACITY = 2048
 END_ID = 0
-#: Words whose ids one Python worker remembers before it starts anew.
-CACHE_WORDS = 100_000
+#: Words whose ids one Python worker remembers, in each of two tables.
+CACHE_WORDS = 160_000
 
 #: A text is read word by word unless a space precedes white space or the end, a line
 #: break precedes other white space, or other white space occurs.
@@ -34,15 +34,23 @@ _IRREGULAR = re.compile(r"[ ](?:\s|\Z)|\n[^\S ]|[^\S \n]")
 
 
 class _Ids(dict):
-    """Ids of a word, as bytes; a word that is not known yet is encoded when asked for."""
+    """Ids of a word, as bytes; a word that is not known yet is encoded when asked for.
+
+    Words are kept in two generations: when the younger one is full it becomes the older
+    one, from which words that occur again are taken over.
+    """
 
     def __init__(self, encode, lead: str):
-        self.encode, self.lead = encode, lead
+        self.encode, self.lead, self.older = encode, lead, {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
+        value = self.older.get(word)
+        if value is None:
+            value = np.array(self.encode(self.lead + word), "<u4").tobytes() if word or self.lead else b""
+        if len(self) >= CACHE_WORDS // 2:
+            self.older = dict(self)
             self.clear()
-        value = self[word] = np.array(self.encode(self.lead + word), "<u4").tobytes() if word or self.lead else b""
+        self[word] = value
         return value
 
 
