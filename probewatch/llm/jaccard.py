@@ -16,7 +16,8 @@ In that round a set only meets the smallest set of each heavy part (the heavy to
 a set).  That is enough: if two linked sets share heavy prefix tokens only, their light
 tokens all lie in the prefixes and none is shared; each then links with the smallest set
 of the other's heavy part, and these two link as well.  For the same reason a pair that
-shares no light token needs an overlap within the smaller heavy part.
+shares no light token needs an overlap within the smaller heavy part.  Pairs that share a
+light token of a large run are found by these tokens and kept whatever their heavy parts.
 """
 
 from __future__ import annotations
@@ -237,12 +238,13 @@ def _candidates(percent, table):
         keep = (100 + percent) * np.minimum(parts[star_a], parts[star_b]) >= percent * (sizes[star_a] + sizes[star_b])
         star_a, star_b = star_a[keep], star_b[keep]
         stars = np.unique(np.stack([keys[star_a], keys[star_b]], 1), axis=0) if len(star_a) else np.empty((0, 2), np.int64)
-        nothing = np.zeros(len(rest), np.int64)
+        # of an entry of a large run: 1 if its token is light
+        light = (~is_heavy[rest]).astype(np.int64)
         return pa.table({
             "kind": pa.array(np.repeat([PAIR, STAR, REST], [len(left), len(stars), len(rest)]), pa.int32()),
             "a": pa.array(np.concatenate([keys[left], stars[:, 0], tokens[rest].view(np.int64)])),
             "b": pa.array(np.concatenate([keys[right], stars[:, 1], keys[rest]])),
-            "shared": pa.array(np.concatenate([times, np.zeros(len(stars), np.int64), nothing])),
+            "shared": pa.array(np.concatenate([times, np.zeros(len(stars), np.int64), light])),
             "n": pa.array(np.concatenate([sizes[left], np.zeros(len(stars), np.int64), sizes[rest]])),
             "m": pa.array(np.concatenate([sizes[right], np.zeros(len(stars), np.int64), parts[rest]])),
             "part": pa.array(np.concatenate([np.zeros(len(left) + len(stars), np.int64), part_keys[rest]]))})
@@ -351,7 +353,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
                    .groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
                    .agg(F.first("a").alias("a"), F.first("b").alias("b")).select("a", "b"))
     rest = found.where(F.col("kind") == REST).select(
-        F.col("a").alias("token"), F.col("b").alias("key"), "n", F.col("m").alias("h"), "part")
+        F.col("a").alias("token"), F.col("b").alias("key"), "n", F.col("m").alias("h"), "part",
+        (F.col("shared") == 1).alias("light"))
 
     wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
     wanted = settle(wanted.unionByName(rest.select("key")).distinct().join(nodes, "key").select("key", "rep"))
@@ -363,22 +366,32 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
     if rest.limit(1).count():
         label = components(edges)
         marked = settle(rest.join(label, rest["key"] == label["node"], "left")
-                        .select("token", "key", "n", "h", "part", F.coalesce("component", "key").alias("c")))
+                        .select("token", "key", "n", "h", "part", "light", F.coalesce("component", "key").alias("c")))
         split = marked.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token")
         left = marked.join(split, "token")
-        smallest = marked.groupBy("part").agg(F.min(F.struct("n", "key")).alias("least")).select(F.col("least.key").alias("key"))
-        right = left.join(smallest.distinct(), "key").select(
-            "token", F.col("key").alias("key2"), F.col("n").alias("n2"), F.col("h").alias("h2"), F.col("c").alias("c2"))
-        across = left.join(right, "token").where(
-            f"c <> c2 and 100 * least(n, n2) >= {percent} * greatest(n, n2) "
-            f"and {100 + percent} * least(h, h2) >= {percent} * (n + n2)")
-        across = across.select("token", F.when(F.col("key") < F.col("key2"), F.struct("key", "key2", "n", "n2")).otherwise(
-            F.struct(F.col("key2").alias("key"), F.col("key").alias("key2"), F.col("n2").alias("n"), F.col("n").alias("n2"))).alias("p"))
-        across = across.groupBy(F.col("p.key").alias("a"), F.col("p.key2").alias("b")).agg(
-            F.count_distinct("token").alias("often"), F.first("p.n").alias("n"), F.first("p.n2").alias("m"))
+
+        def across(one, other, enough):
+            """Pairs of different components, with the number of tokens that they share in these rows."""
+            other = other.select("token", F.col("key").alias("key2"), F.col("n").alias("n2"), F.col("h").alias("h2"), F.col("c").alias("c2"))
+            met = one.join(other, "token").where(f"c <> c2 and 100 * least(n, n2) >= {percent} * greatest(n, n2) and {enough}")
+            met = met.select("token", F.when(F.col("key") < F.col("key2"), F.struct("key", "key2", "n", "n2")).otherwise(
+                F.struct(F.col("key2").alias("key"), F.col("key").alias("key2"), F.col("n2").alias("n"), F.col("n").alias("n2"))).alias("p"))
+            return met.groupBy(F.col("p.key").alias("a"), F.col("p.key2").alias("b")).agg(
+                F.count_distinct("token").alias("often"), F.first("p.n").alias("n"), F.first("p.n2").alias("m"))
+
+        heavies, lights = left.where("not light"), left.where("light")
+        smallest = marked.where("not light").groupBy("part").agg(F.min(F.struct("n", "key")).alias("least")).select(F.col("least.key").alias("key"))
+        # no light token shared: the overlap lies within both heavy parts
+        apart = across(heavies, heavies.join(smallest.distinct(), "key"), f"{100 + percent} * least(h, h2) >= {percent} * (n + n2)")
+        # light tokens shared: of heavy ones in large runs as many more as both have
+        beyond = rest.where("not light").groupBy("key").agg(F.count(F.lit(1)).alias("large"))
+        alike = (across(lights, lights, "key < key2")
+                 .join(beyond.toDF("a", "large_a"), "a", "left").join(beyond.toDF("b", "large_b"), "b", "left")
+                 .withColumn("often", F.col("often") + F.least(F.coalesce("large_a", F.lit(0)), F.coalesce("large_b", F.lit(0)))))
+        either = apart.unionByName(alike.select("a", "b", "often", "n", "m"))
         beside = counted.select("a", "b", F.col("shared").alias("also"))
-        more = (across.join(beside, ["a", "b"], "left").withColumn("shared", F.col("often") + F.coalesce("also", F.lit(0)))
-                .where(_enough(percent)).select("a", "b"))
+        more = (either.join(beside, ["a", "b"], "left").withColumn("shared", F.col("often") + F.coalesce("also", F.lit(0)))
+                .where(_enough(percent)).select("a", "b").distinct())
         more = settle(more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
         if more.limit(1).count():
             edges = edges.unionByName(settle(_links(more, sets, percent, table)))

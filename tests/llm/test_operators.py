@@ -129,6 +129,63 @@ def test_jaccard_of_mixed_passages_equals_brute_force(spark, monkeypatch):
     assert got_components(df) == expected_components(rows)
 
 
+def word_components(rows):
+    """Brute force over sets of words."""
+    sets = [frozenset(t.split()) for _, t in rows]
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if 100 * len(x & sets[j]) >= 75 * len(x | sets[j]):
+                parent[find(i)] = find(j)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[find(k)] = min(i, least.get(find(k), i))
+    return sorted((i, len(s), least[find(k)]) for k, ((i, _), s) in enumerate(zip(rows, sets)))
+
+
+def test_jaccard_links_by_light_tokens_of_large_runs(spark, monkeypatch):
+    """Pairs that share light tokens in large runs only, beside heavy parts too small to link alone."""
+    monkeypatch.setattr(jaccard, "HEAVY_SETS", 4)
+    monkeypatch.setattr(jaccard, "RUN", 3)
+    heavy, other = [f"h{i}" for i in range(82)], [f"g{i}" for i in range(30)]
+
+    def holder(i, slot):
+        light = [f"l{i}_{k}" for k in range(10)]
+        if slot < 2:
+            return " ".join([*light, *heavy[2 * slot:80 + 2 * slot], *(f"x{i}_{slot}_{k}" for k in range(10))])
+        return " ".join([*light, *other, f"d{i}_{slot}"])
+
+    # a task sees each light token once, so that it is in no table of heavy ones
+    texts = [holder(i, (task + i) % 8) for task in range(8) for i in range(16)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 8), "doc_id long, text string")
+    got = sorted(map(tuple, jaccard.jaccard_components(df, width=1).collect()))
+    assert got == word_components(rows) and len({c for _, _, c in got}) == 32
+
+
+def test_jaccard_with_a_tiny_heavy_table_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "HEAVY_SETS", 4)
+    monkeypatch.setattr(jaccard, "HEAVY_TABLE", 25)
+    monkeypatch.setattr(jaccard, "RUN", 3)
+    rng = np.random.default_rng(21)
+    passages = [[f"p{k}_{i}" for i in range(rng.integers(3, 16))] for k in range(25)]
+    weights = 1 / np.arange(1, 26)
+    texts = []
+    for k in range(240):
+        chosen = sorted(rng.choice(25, rng.integers(2, 7), replace=False, p=weights / weights.sum()))
+        words = [w for i in chosen for w in passages[i] if rng.random() < 0.95]
+        texts.append(" ".join([*words, *(f"x{k}_{i}" for i in range(rng.integers(0, 4)))]))
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 12), "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.jaccard_components(df, width=1).collect())) == word_components(rows)
+
+
 def test_components_of_long_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, k) for k in range(101, 160)] + [(200, 200)]
     got = dict(common.components(spark.createDataFrame(edges, "a long, b long")).collect())
