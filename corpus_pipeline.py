@@ -15,6 +15,8 @@ from probewatch.llm.common import offered, settle
 
 #: A name, the vocabulary as ranks and its word pattern.
 TOKENIZER = ("byte_bpe_50k", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+#: The same with the added tokens that the vocabulary's json lists.
+TOKENIZER_ADDED = (*TOKENIZER, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +45,7 @@ def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their sequence and offset."""
-    return packing.pack_documents(docs, TOKENIZER)
+    return packing.pack_documents(docs, TOKENIZER_ADDED)
 
 
 STAGES = [

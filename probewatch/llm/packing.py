@@ -60,10 +60,15 @@ class Encoder:
     Tokens of this vocabulary never cross the border between a character and a single
     space after it, nor a single line break, so words are encoded one by one and
     remembered.  Texts with runs of white space are encoded as a whole.
+
+    With ``added``, a tokenizer's json, the added tokens that it lists have one id each
+    wherever a text holds them, and what lies between is encoded by itself, as
+    ``tokenizers`` does.  Without it they are ordinary text.
     """
 
-    def __init__(self, vocabulary: str, ranks: str, pattern: str):
+    def __init__(self, vocabulary: str, ranks: str, pattern: str, added: str | None = None):
         import base64
+        import json
 
         import tiktoken
         table = {}
@@ -74,8 +79,22 @@ class Encoder:
         self.encode = tiktoken.Encoding(vocabulary, pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
         self.first, self.later = _Ids(self.encode, ""), _Ids(self.encode, " ")
         self.line_break = np.array(self.encode("\n"), "<u4").tobytes()
+        self.added, self.borders = {}, None
+        if added:
+            with open(added, encoding="utf-8") as file:
+                tokens = json.load(file)["added_tokens"]
+            if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in tokens):
+                raise ValueError("added tokens that look at what is beside them are not supported")
+            self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in tokens}
+        if self.added:
+            self.borders = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})")
 
     def __call__(self, text: str) -> bytes:
+        if self.borders and any(t in text for t in self.added):
+            return b"".join(self.added[part] if k % 2 else self.ordinary(part) for k, part in enumerate(self.borders.split(text)))
+        return self.ordinary(text)
+
+    def ordinary(self, text: str) -> bytes:
         if not text:
             return b""
         if _IRREGULAR.search(text):
@@ -127,7 +146,7 @@ def _cut(files, capacity, row_column):
     return run
 
 
-def cut_pieces(docs: DataFrame, files: tuple[str, str, str], capacity: int = CAPACITY) -> DataFrame:
+def cut_pieces(docs: DataFrame, files: tuple[str, ...], capacity: int = CAPACITY) -> DataFrame:
     """Every document's ids and an end id, cut into pieces of at most ``capacity`` ids.
 
     Only the first piece of a document may be shorter.  A null text is empty: one piece
@@ -238,10 +257,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return numbered.mapInArrow(_placed(table), f"doc_id long, {PIECES}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, files: tuple[str, str, str], capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, files: tuple[str, ...], capacity: int = CAPACITY) -> DataFrame:
     """Tokenise, cut and pack all documents; one row per piece.
 
-    ``files`` are a name, the vocabulary as ranks and its word pattern.  Extra columns are
-    ignored, repeated rows are packed as often as they occur, a null id stays null.
+    ``files`` are a name, the vocabulary as ranks, its word pattern and, if given, the json
+    that lists added tokens.  Extra columns are ignored, repeated rows are packed as often as
+    they occur, a null id stays null.
     """
     return pack(settle(cut_pieces(docs, files, capacity)), capacity)

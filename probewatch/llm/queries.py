@@ -37,7 +37,7 @@ def op4_html_templates(spark, sf_dir):
 
 def op5_best_fit_packing(spark, sf_dir):
     """Sequence and offset of every piece of every document."""
-    files = corpus_pipeline.TOKENIZER
+    files = corpus_pipeline.TOKENIZER_ADDED
     return packing.pack_documents(table(spark, sf_dir, "documents"), files)
 
 

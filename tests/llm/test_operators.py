@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from probewatch.llm import (
-    ann, common, fingerprints, jaccard, licenses, packing, pages, quality, secrets, sharding, wordpieces,
+    ann, common, fingerprints, jaccard, licenses, packing, pages, quality, queries, secrets, sharding, wordpieces,
 )
 
 SF = "/root/testdata/sf0.001"
@@ -296,6 +296,20 @@ def test_packing_ids_equal_the_tokenizer(docs, odd):
         assert np.frombuffer(encode(text), "<u4").tolist() == ids.ids
 
 
+def test_packing_gives_added_tokens_their_ids(spark, tmp_path):
+    """The registered query and the stage give the ids of the json with its added tokens."""
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["<|endoftext|>", "one <|endoftext|> two", "a<|endoftext|>\n<|endoftext|><|endoftext", "x  <|endoftext|>  y\n\n z",
+             "<|endoftext|><|endoftext|>", "<|EndOfText|>", "plain words"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    want = {k: [*ids.ids, 0] for k, ids in enumerate(tokenizer.encode_batch(texts, add_special_tokens=False))}
+    for out in (queries.op5_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.packed_sequences(spark, df, "")):
+        got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in out.collect()}
+        assert got == {k: (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for k, ids in want.items()}
+
+
 def check_packing(df, capacity, want_ids):
     rows = packing.pack_documents(df, corpus_pipeline.TOKENIZER, capacity).collect()
     sequences = defaultdict(list)
