@@ -10,8 +10,8 @@ each occurrence of its own tag holds it once, which is checked page by page firs
 
 The slots between the template's tokens hold what varies.  Slots of menus, headers,
 footers, sidebars, notices, adverts, forms and comments are told by their tags and names;
-of the others the article is the one that is marked so or, where none is marked, the slot
-that holds most of the host's text.
+of the others the article is those that are marked so or, where none is marked, the slot
+that holds most of the host's text.  The template's words go from marked articles as well.
 """
 
 from __future__ import annotations
@@ -163,10 +163,9 @@ def _tokens(batches):
             words: dict[str, list[Counter]] = {}
             unmarked = not any(level and not out for _, out, level, _ in found)
             for path, out, level, text in found:
-                if not level:
-                    words.setdefault(path, []).append(Counter(text.split()))
-                    if unmarked and not out:
-                        put(h, mark, SLOT, 0, len(text), _parent(path))
+                words.setdefault(path, []).append(Counter(text.split()))
+                if unmarked and not out:
+                    put(h, mark, SLOT, 0, len(text), _parent(path))
             for path, each in words.items():
                 if len(each) == paths[path]:
                     for word in set.intersection(*(set(c) for c in each)):
@@ -187,7 +186,13 @@ def templates(pages: DataFrame) -> DataFrame:
     as many as a page has on average.
     """
     rows = pages.select(host(F.col("url")).alias("host"), "html").where("host is not null and html is not null")
-    seen = rows.mapInArrow(_tokens, "host string, page long, kind int, key long, n long, slot string")
+    # copies of one page tell nothing of the template: only they are exchanged, to leave one of each
+    keyed = rows.withColumn("copy", F.xxhash64("html"))
+    copied = settle(keyed.groupBy("host", "copy").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("host", "copy"))
+    again = offered(copied, copied.count(), 48)
+    once = keyed.join(again, ["host", "copy"], "left_anti").select("host", "html")
+    first = keyed.join(again, ["host", "copy"], "left_semi").dropDuplicates(["host", "copy"]).select("host", "html")
+    seen = once.unionByName(first).mapInArrow(_tokens, "host string, page long, kind int, key long, n long, slot string")
     tallied = settle(seen.groupBy("host", "kind", "key", "slot").agg(
         F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n")))
     tokens = tallied.where(F.col("kind") != SLOT)
@@ -206,10 +211,10 @@ def main_text(page: str | None, template: set[int], slot: str | None) -> str:
     found, _ = blocks(page)
     kept = [b for b in found if not b[1]]
     level = max((b[2] for b in kept), default=0)
+    # words of the template are no slot's, marked or not
+    kept = [b for b in kept if not all(_key(b[0], w) in template for w in b[3].split())]
     if level:
         return "\n".join(text for _, _, own, text in kept if own >= level)
-    # words of the template are no slot's
-    kept = [b for b in kept if not all(_key(b[0], w) in template for w in b[3].split())]
     if slot is None or not any(_parent(b[0]) == slot for b in kept):
         size = Counter()
         for path, _, _, text in kept:

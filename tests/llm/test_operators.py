@@ -285,6 +285,18 @@ def test_pages_of_an_unmarked_template(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+def test_pages_leave_out_the_template_inside_articles(spark):
+    """Repeated text in an article goes, though nothing names it; copies of one page are no evidence."""
+    def page(k):
+        return (f"<html><body><article><h1>Title {k}</h1><div class=kicker>Published by staff</div><p>Text number {k}</p>"
+                f"<p>More of {k}</p><div><p>Support our work today</p></div></article><footer>foot</footer></body></html>")
+    copy = "<html><body><article><h1>Only one</h1><p>Same text everywhere</p></article></body></html>"
+    rows = [(k, f"http://h.example/{k}", page(k)) for k in range(8)] + [(k, f"http://copies.example/{k}", copy) for k in range(20, 26)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in pages.extract(df).collect()}
+    assert got == {k: f"Title {k}\nText number {k}\nMore of {k}" for k in range(8)} | {k: "Only one\nSame text everywhere" for k in range(20, 26)}
+
+
 def test_packing_ids_equal_the_tokenizer(docs, odd):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
