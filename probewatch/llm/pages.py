@@ -10,8 +10,10 @@ each occurrence of its own tag holds it once, which is checked page by page firs
 
 The slots between the template's tokens hold what varies.  Slots of menus, headers,
 footers, sidebars, notices, adverts, forms and comments are told by their tags and names;
-of the others the article is those that are marked so or, where none is marked, the slot
-that holds most of the host's text.  The template's words go from marked articles as well.
+of the others the article is all that are marked as article or main part, by whichever of
+the two holds more text, or, where none is marked, all of them.  The template's words go from
+marked articles as well.  Inside an article a name alone leaves nothing out: most of the
+part's text must also be the template's.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter
+from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
@@ -62,26 +65,35 @@ def host(url):
 
 
 class _Open:
-    __slots__ = ("tag", "path", "out", "level", "raw")
+    __slots__ = ("tag", "path", "out", "level", "parts", "raw")
 
-    def __init__(self, tag, path, out, level):
-        self.tag, self.path, self.out, self.level, self.raw = tag, path, out, level, []
+    def __init__(self, tag, path, out, level, parts):
+        self.tag, self.path, self.out, self.level, self.parts, self.raw = tag, path, out, level, parts, []
+
+
+class Block(NamedTuple):
+    path: str
+    out: bool
+    level: int
+    text: str
+    parts: tuple[int, ...]
 
 
 def blocks(page: str | None):
-    """(path, left out, level, text) of each block with text, and the count of each tag path.
+    """Each block with text, and the count of each tag path.
 
-    Level 2 is inside an article, 1 inside the main part, 0 elsewhere.
+    Level 2 is inside an article, 1 inside the main part, 0 elsewhere.  ``parts`` number the
+    elements of an article around the block whose name is that of a page part.
     """
     found, paths = [], Counter()
-    stack = [_Open("", "", False, 0)]
+    stack = [_Open("", "", False, 0, ())]
 
     def flush(top):
         if top.raw:
             text = " ".join(entities.unescape("".join(top.raw)).split())
             top.raw = []
             if text:
-                found.append((top.path, top.out, top.level, text))
+                found.append(Block(top.path, top.out, top.level, text, top.parts))
 
     at = 0
     for m in _MARKUP.finditer(page or ""):
@@ -108,12 +120,13 @@ def blocks(page: str | None):
             stack.pop()
         top = stack[-1]
         name, out, level = "", top.out or tag in LEAVE_OUT, top.level
+        named = False
         if m[4]:
             for key, *values in _NAMES.findall(m[4]):
                 key, value = key.lower(), next((v for v in values if v), "")
                 if key in ("class", "id"):
                     name = name or value.strip().lower()
-                    out = out or tag not in ("html", "body") and not PART_NAMES.isdisjoint(w.lower() for w in _PARTS.findall(value))
+                    named = named or tag not in ("html", "body") and not PART_NAMES.isdisjoint(w.lower() for w in _PARTS.findall(value))
                 elif key == "role":
                     out = out or value.lower() in PART_ROLES
                     level = max(level, 1) if value.lower() in MAIN_ROLES else level
@@ -121,13 +134,16 @@ def blocks(page: str | None):
                     level = 2 if value.lower() == "articlebody" else level
                 elif key == "hidden":
                     out = True
-        if tag == "header" and level == 0:
+        parts = top.parts
+        if named and top.level == 2:
+            parts = (*parts, m.start())
+        elif named or tag == "header" and level == 0:
             out = True
         level = 2 if tag == "article" else max(level, 1) if tag == "main" else level
         path = f"{top.path}/{tag}.{name}" if name else f"{top.path}/{tag}"
         paths[path] += 1
         if tag != "hr":
-            stack.append(_Open(tag, path, out, level))
+            stack.append(_Open(tag, path, out, level, parts))
     if page and at < len(page):
         stack[-1].raw.append(page[at:])
     for top in reversed(stack):
@@ -139,20 +155,16 @@ def _key(path: str, word: str = "") -> int:
     return xxhash.xxh3_64_intdigest(f"{path}\x00{word}") - (1 << 63)
 
 
-def _parent(path: str) -> str:
-    return path.rsplit("/", 1)[0]
-
-
-TOKEN, TAG, SLOT = 0, 1, 2
+TOKEN, TAG = 0, 1
 
 
 def _tokens(batches):
-    """Tokens of each page with their counts, and the text of the slots that nothing marks."""
+    """Tokens of each page with their counts."""
     for batch in batches:
-        hosts, pages, kinds, keys, counts, slots = [], [], [], [], [], []
+        hosts, pages, kinds, keys, counts = [], [], [], [], []
 
-        def put(h, page, kind, key, n, slot=None):
-            for column, value in zip((hosts, pages, kinds, keys, counts, slots), (h, page, kind, key, n, slot)):
+        def put(h, page, kind, key, n):
+            for column, value in zip((hosts, pages, kinds, keys, counts), (h, page, kind, key, n)):
                 column.append(value)
 
         for h, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -161,11 +173,8 @@ def _tokens(batches):
             for path, n in paths.items():
                 put(h, mark, TAG, _key(path), n)
             words: dict[str, list[Counter]] = {}
-            unmarked = not any(level and not out for _, out, level, _ in found)
-            for path, out, level, text in found:
-                words.setdefault(path, []).append(Counter(text.split()))
-                if unmarked and not out:
-                    put(h, mark, SLOT, 0, len(text), _parent(path))
+            for b in found:
+                words.setdefault(b.path, []).append(Counter(b.text.split()))
             for path, each in words.items():
                 if len(each) == paths[path]:
                     for word in set.intersection(*(set(c) for c in each)):
@@ -175,12 +184,12 @@ def _tokens(batches):
             cut = slice(k, k + 50_000)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(hosts[cut], pa.string()), pa.array(pages[cut], pa.int64()), pa.array(kinds[cut], pa.int32()),
-                 pa.array(keys[cut], pa.int64()), pa.array(counts[cut], pa.int64()), pa.array(slots[cut], pa.string())],
-                ["host", "page", "kind", "key", "n", "slot"])
+                 pa.array(keys[cut], pa.int64()), pa.array(counts[cut], pa.int64())],
+                ["host", "page", "kind", "key", "n"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """host, tokens (keys of the template's words), slot (path of most unmarked text).
+    """host, tokens (keys of the template's words).
 
     A template's tokens are on half of the host's pages or more, so there are at most twice
     as many as a page has on average.
@@ -192,41 +201,39 @@ def templates(pages: DataFrame) -> DataFrame:
     again = offered(copied, copied.count(), 48)
     once = keyed.join(again, ["host", "copy"], "left_anti").select("host", "html")
     first = keyed.join(again, ["host", "copy"], "left_semi").dropDuplicates(["host", "copy"]).select("host", "html")
-    seen = once.unionByName(first).mapInArrow(_tokens, "host string, page long, kind int, key long, n long, slot string")
-    tallied = settle(seen.groupBy("host", "kind", "key", "slot").agg(
+    seen = once.unionByName(first).mapInArrow(_tokens, "host string, page long, kind int, key long, n long")
+    tallied = settle(seen.groupBy("host", "kind", "key").agg(
         F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n")))
-    tokens = tallied.where(F.col("kind") != SLOT)
-    most = tokens.groupBy("host").agg(F.max("pages").alias("most"))
-    frequent = tokens.join(most, "host").where((F.col("pages") >= PAGES) & (F.col("pages") >= SHARE * F.col("most")))
+    most = tallied.groupBy("host").agg(F.max("pages").alias("most"))
+    frequent = tallied.join(most, "host").where((F.col("pages") >= PAGES) & (F.col("pages") >= SHARE * F.col("most")))
     valid = frequent.groupBy("host", "vector", "pages", "n").agg(
         F.count_if(F.col("kind") == TAG).alias("tags"),
         F.array_sort(F.collect_list(F.when(F.col("kind") == TOKEN, F.col("key")))).alias("words"))
-    words = valid.where("tags > 0").groupBy("host").agg(F.array_sort(F.flatten(F.collect_list("words"))).alias("tokens"))
-    slots = tallied.where(F.col("kind") == SLOT).groupBy("host").agg(F.max_by("slot", F.struct("n", "slot")).alias("slot"))
-    return words.join(slots, "host", "full").select("host", "tokens", "slot")
+    return valid.where("tags > 0").groupBy("host").agg(F.array_sort(F.flatten(F.collect_list("words"))).alias("tokens"))
 
 
-def main_text(page: str | None, template: set[int], slot: str | None) -> str:
+def main_text(page: str | None, template: set[int]) -> str:
     """The article of a page, blocks joined by line breaks."""
     found, _ = blocks(page)
-    kept = [b for b in found if not b[1]]
-    level = max((b[2] for b in kept), default=0)
     # words of the template are no slot's, marked or not
-    kept = [b for b in kept if not all(_key(b[0], w) in template for w in b[3].split())]
-    if level:
-        return "\n".join(text for _, _, own, text in kept if own >= level)
-    if slot is None or not any(_parent(b[0]) == slot for b in kept):
-        size = Counter()
-        for path, _, _, text in kept:
-            size[_parent(path)] += len(text)
-        slot = max(size, key=lambda p: (size[p], p), default="")
-    return "\n".join(text for path, _, _, text in kept if path == slot or path.startswith(slot + "/"))
+    fixed = [all(_key(b.path, w) in template for w in b.text.split()) for b in found]
+    # a part of an article that its name tells is left out only if most of its text is the template's
+    weight = Counter()
+    for b, f in zip(found, fixed):
+        for part in b.parts:
+            weight[part] += len(b.text) if f else -len(b.text)
+    told = {part for part, more in weight.items() if more > 0}
+    kept = [b for b in found if not b.out]
+    inner, outer = (sum(len(b.text) for b in kept if b.level == level) for level in (2, 1))
+    level = 2 if inner and inner >= outer else 1 if outer else 0
+    return "\n".join(b.text for b, f in zip(found, fixed)
+                     if not b.out and b.level >= level and not f and told.isdisjoint(b.parts))
 
 
 def _extract(batches):
     for batch in batches:
-        ids, urls, html, tokens, slots = (batch.column(k) for k in range(5))
-        texts = [main_text(h, frozenset(t or ()), s) for h, t, s in zip(html.to_pylist(), tokens.to_pylist(), slots.to_pylist())]
+        ids, urls, html, tokens = (batch.column(k) for k in range(4))
+        texts = [main_text(h, frozenset(t or ())) for h, t in zip(html.to_pylist(), tokens.to_pylist())]
         yield pa.RecordBatch.from_arrays(
             [ids, urls, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
@@ -235,12 +242,12 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page.
 
     A null or empty html gives an empty text.  Pages without a host have no template and are
-    read by their own slots.  Repeated rows give repeated rows, extra columns are ignored, and
+    keep all their slots.  Repeated rows give repeated rows, extra columns are ignored, and
     an empty table gives an empty result.
     """
     known = settle(templates(pages))
     size = known.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.size("tokens"), F.lit(0)))).first()
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host(F.col("url")).alias("host"))
     joined = rows.join(offered(known, size[0] * 20 + (size[1] or 0), 8), "host", "left")
-    return joined.select("page_id", "url", "html", "tokens", "slot").mapInArrow(
+    return joined.select("page_id", "url", "html", "tokens").mapInArrow(
         _extract, "page_id long, url string, text string, n_chars long")

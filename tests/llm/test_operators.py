@@ -297,6 +297,28 @@ def test_pages_leave_out_the_template_inside_articles(spark):
     assert got == {k: f"Title {k}\nText number {k}\nMore of {k}" for k in range(8)} | {k: "Only one\nSame text everywhere" for k in range(20, 26)}
 
 
+def test_pages_keep_all_parts_of_the_story(spark):
+    """Unmarked slots beside the largest, a main part with cards, and names inside an article."""
+    body = "long words of the story " * 8
+    shapes = {
+        "slots": ("<div class=content><h1>Title {k}</h1><p>Intro {k}</p><section><p>{b}{k}</p></section></div>"
+                  "<div class=second><p>Ending {k}</p></div><div class=ad>buy {k}</div>",
+                  "Title {k}\nIntro {k}\n{b}{k}\nEnding {k}"),
+        "cards": ("<main><h1>Title {k}</h1><p>{b}{k}</p></main><article><p>Card {k}</p></article>",
+                  "Title {k}\n{b}{k}\nCard {k}"),
+        "names": ("<article><header class='entry-header'><h1>Title {k}</h1><div>News</div></header><p>{b}{k}</p><div class='social-policy'><p>Law {k}</p></div>"
+                  "<div class='search-results'>Found {k}</div><div class=comments><h3>Reader comments</h3><p>I say {k}</p></div></article>",
+                  "Title {k}\n{b}{k}\nLaw {k}\nFound {k}"),
+    }
+    rows, want = [], {}
+    for at, (name, (html_, text)) in enumerate(shapes.items()):
+        for k in range(8):
+            rows.append((10 * at + k, f"http://{name}.example/{k}", f"<html><body>{html_.format(k=k, b=body)}</body></html>"))
+            want[10 * at + k] = text.format(k=k, b=body)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in pages.extract(df).collect()} == want
+
+
 def test_packing_ids_equal_the_tokenizer(docs, odd):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
