@@ -80,9 +80,15 @@ class Lexicons:
         self.place = {w: i for i, w in enumerate(words)}
 
     def fingerprint(self, text: str | None) -> str:
-        """32-bit hashes of the subsets, comma-joined; a subset that keeps no term reads ``-``."""
-        place = self.place
-        at = np.array([place[w] for w in terms(text) if w in place], np.int64)
+        """32-bit hashes of the subsets, comma-joined; a subset that keeps no term reads ``-``.
+
+        A text without any lexicon term ends with a 64-bit hash of all its sorted terms.
+        """
+        place, words = self.place, terms(text)
+        at = np.array([place[w] for w in words if w in place], np.int64)
+        if not len(at):
+            own = xxhash.xxh3_64_hexdigest(" ".join(sorted(words)).encode("utf-8", "surrogatepass"))
+            return ",".join([EMPTY] * self.member.shape[1] + [own])
         at.sort()  # the words are sorted, so this is the order of the terms
         member = self.member[at]
         # the hash of a sorted list of distinct terms: a sum over terms mixed beforehand
@@ -96,11 +102,13 @@ def likeness(a: str, b: str) -> float:
     """The largest share of equal hashes that one density has, among its subsets that keep terms of either.
 
     Densities of fewer than ``TELLING`` such subsets are passed over unless none has more;
-    two empty fingerprints are alike.
+    texts without lexicon terms are like those of the same terms only.
     """
     if a == b:
         return 1.0
     a, b, at, best, few = a.split(","), b.split(","), 0, None, []
+    if max(len(a), len(b)) > sum(PER_DENSITY):
+        return 0.0
     for times in PER_DENSITY:
         pairs = [(x, y) for x, y in zip(a[at:at + times], b[at:at + times]) if x != EMPTY or y != EMPTY]
         at += times
@@ -195,8 +203,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The edited text replaces the last floor(n_chars / 2) code points by the first as many
     of the next document in ascending (doc_id, text hash); the last document takes the
-    first one's.  A null text is empty.  Texts without lexicon terms have empty
-    fingerprints, which are alike.  Null ids come first; repeated rows are neighbours;
+    first one's.  A null text is empty.  Texts without lexicon terms have a fingerprint of
+    all their terms.  Null ids come first; repeated rows are neighbours;
     extra columns are ignored; an empty table gives an empty result.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))

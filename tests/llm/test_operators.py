@@ -544,6 +544,13 @@ def test_fingerprints_edit_and_neighbour(docs, odd, none):
     assert len(again) == odd.count() and all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in again)
 
 
+def test_fingerprints_of_texts_without_lexicon_terms():
+    lexicons = fingerprints.Lexicons(["alpha", "beta"])
+    one, same, other, empty, known = (lexicons.fingerprint(t) for t in ("The esingor.", "esingor. the", "quite unlike", None, "alpha"))
+    assert one == same and fingerprints.likeness(one, same) == fingerprints.likeness(empty, lexicons.fingerprint("")) == 1
+    assert all(fingerprints.likeness(x, y) == 0 for x, y in ((one, other), (one, empty), (one, known), (known, other)))
+
+
 def test_lexicon_is_the_band_of_document_frequency(docs):
     counts = Counter(w for r in docs.collect() for w in set(r["text"].lower().split()))
     n = docs.count()
