@@ -30,6 +30,15 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the table of a settled frame that nothing reads any more."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if folder.getName().startswith("probewatch-"):
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def offered(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     """Mark a side for broadcast when its counted size is within ``BROADCAST_BYTES``."""
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
