@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from probewatch.llm import (
-    ann, codes, fingerprints, jaccard, licenses, middles, packing, pages, quality, secrets, sharding, wordpieces,
+    ann, codes, fingerprints, jaccard, licenses, middles, packing, pages, passages, quality, secrets, sharding,
+    wordpieces,
 )
 
 
@@ -66,6 +67,11 @@ def op10_imatch_fingerprints(spark, sf_dir):
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_repeated_passages(spark, sf_dir):
+    """What remains of every document without its repeated passages."""
+    return passages.digests(table(spark, sf_dir, "documents"))
+
+
 def op12_fill_in_middle(spark, sf_dir):
     """Form, lengths and hashes of every document's fill-in-middle text."""
     return middles.digests(table(spark, sf_dir, "documents"))
@@ -80,7 +86,7 @@ QUERIES = {
     f.__name__: f for f in (
         op1_ann_prefix_forest, op2_license_scan, op3_ngram_jaccard_join, op4_html_templates, op5_best_fit_packing,
         op6_quality_classifier, op7_histogram_sharding, op8_sentencepiece, op9_secret_scan, op10_imatch_fingerprints,
-        op12_fill_in_middle, op13_vector_codes)
+        op11_repeated_passages, op12_fill_in_middle, op13_vector_codes)
 } | {"pipeline": corpus_pipeline.run}
 
 ORACLES: dict[str, str] = {"op12_fill_in_middle": middles.SQL}
