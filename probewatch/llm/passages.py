@@ -11,8 +11,11 @@ are a *stretch* (a string of a text lies in exactly one).
    its anchor, and ``suffixes.suffix_arrays`` orders all suffixes there.  Strings that occur
    twice are neighbours in this order, and the neighbours' bytes are compared.  An anchor
    whose stretches are all the same text needs no order.
-3. An anchor with more than ``LARGE`` distinct stretches is not gathered in one place:
-   its strings are counted by content, combined before the exchange.
+3. An anchor with more than ``LARGE`` distinct stretches is not gathered in one place.  Its
+   stretches are cut into pieces of ``WIDTHS[0]`` strings that start about as far before the
+   anchor; these strings share a core of bytes, and pieces meet under the core's hash as
+   stretches did under the anchor's.  Where even a core has too many pieces, the next width
+   does; at width 1 the core is the string, so nothing is left to order.
 4. Repeated strings go back to all places of their stretches and become ranges of bytes.
 """
 
@@ -23,7 +26,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -33,11 +36,13 @@ from probewatch.llm.suffixes import suffix_arrays
 LENGTH = 200
 GRAM = 40
 #: Bytes whose strings are looked at in one go.
-SLICE = 1 << 21
+SLICE = 1 << 19
 #: Distinct stretches of an anchor up to which it is ordered in one place.
 LARGE = 512
+#: Strings in a piece of a large anchor's stretch, and in a piece of such a piece.
+WIDTHS = (16, 1)
 #: Bytes of stretches in a bucket, and of those ordered at once.
-BUCKET, AT_ONCE = 2 << 20, 1 << 20
+BUCKET, AT_ONCE = 1 << 20, 1 << 19
 
 _HIGH, _LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 
@@ -54,12 +59,12 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def stretches(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(anchor hash, content hash, text number, first byte in the text, strings - 1) of all stretches.
+    """(anchor hash, content hash, text number, first byte in the text, anchor's place behind it, strings - 1) of all stretches.
 
     ``data`` holds the texts' bytes in a row, ``ends`` where each ends.  A stretch may be cut
     where a slice ends; its strings then lie in two.
     """
-    found = [[], [], [], []]
+    found = [[], [], [], [], []]
     begins = np.concatenate([[0], ends[:-1]])
     for a in range(0, max(0, len(data) - length + 1), SLICE):
         part = data[a:a + SLICE + length - 1]
@@ -84,14 +89,14 @@ def stretches(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: in
             low, high, at = inside[cut], inside[np.append(cut[1:], len(inside)) - 1], at[cut]
             content = mix((total[high + length] - total[low]) * inverse[low])
             content = mix(content ^ ((high - low).astype(np.uint64) << np.uint64(32)) ^ (at - low).astype(np.uint64), 3)
-        for out, values in zip(found, (grams[at].view(np.int64), content.view(np.int64), low + a, high - low)):
+        for out, values in zip(found, (grams[at].view(np.int64), content.view(np.int64), low + a, at - low, high - low)):
             out.append(values)
     if not found[0]:
         none = np.empty(0, np.int64)
-        return none, none, none, none, none
-    anchor, content, low, more = (np.concatenate(x) for x in found)
+        return none, none, none, none, none, none
+    anchor, content, low, behind, more = (np.concatenate(x) for x in found)
     text = np.searchsorted(ends, low, "right")
-    return anchor, content, text, low - begins[text], more
+    return anchor, content, text, low - begins[text], behind, more
 
 
 def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -105,38 +110,46 @@ def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets[1:] - offsets[0]
 
 
-#: A place in a text and the strings of its stretch, in one number.
-_WIDE = 256
+#: A spot is a place in a text, how far behind it the anchor stands, and the strings there - 1, in one number.
+_WIDE = 1 << 16
+#: Rows of a batch that are worked on together.
+ROWS = 2000
 PLACE = "anchor long, content long, key long, spot long"
 
 
-def _spots(batches):
+def _sliced(batches):
     for batch in batches:
-        anchor, content, text, low, more = stretches(*_texts(batch.column("text")))
-        keys = batch.column("key").to_numpy(zero_copy_only=False)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor, content, keys[text], low * _WIDE + more)],
-                                         ["anchor", "content", "key", "spot"])
+        for k in range(0, batch.num_rows, ROWS):
+            yield batch.slice(k, ROWS)
+
+
+def _places(batch):
+    anchor, content, text, low, behind, more = stretches(*_texts(batch.column("text")))
+    return anchor, content, batch.column("key").to_numpy(zero_copy_only=False)[text], low * _WIDE + behind * 256 + more
+
+
+def _spots(batches):
+    for batch in _sliced(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _places(batch)], ["anchor", "content", "key", "spot"])
 
 
 def _tallies(batches):
-    """The batch's distinct stretches: how often each occurs, and where first."""
-    for batch in batches:
-        anchor, content, text, low, more = stretches(*_texts(batch.column("text")))
-        keys = batch.column("key").to_numpy(zero_copy_only=False)
+    """Distinct stretches of some rows: how often each occurs, and where first."""
+    for batch in _sliced(batches):
+        anchor, content, key, spot = _places(batch)
         sort = np.lexsort((content, anchor))
         a, c = anchor[sort], content[sort]
         first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])])) if len(a) else np.empty(0, np.int64)
-        n = np.diff(np.append(first, len(a)))
         at = sort[first]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (anchor[at], content[at], n, keys[text[at]], low[at] * _WIDE + more[at])],
+            [pa.array(x) for x in (anchor[at], content[at], np.diff(np.append(first, len(a))), key[at], spot[at])],
             ["anchor", "content", "n", "key", "spot"])
 
 
 def _pack(batches):
     pack = zstandard.ZstdCompressor(level=3).compress
-    for batch in batches:
-        packed = [pack(t.encode("utf-8")) for t in batch.column("text").to_pylist()]
+    for batch in _sliced(batches):
+        packed = [pack(t.as_buffer()) for t in batch.column("text")]
         columns = {name: batch.column(name) for name in batch.schema.names if name != "text"}
         yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(packed, pa.binary())], [*columns, "packed"])
 
@@ -146,18 +159,20 @@ def _pack(batches):
 def _cut(batches):
     """The bytes of each listed stretch."""
     unpack = zstandard.ZstdDecompressor().decompress
-    names = ["bucket", "anchor", "content", "n", "bytes"]
-    for batch in batches:
-        out = {name: [] for name in names}
-        for packed, wanted in zip(batch.column("packed").to_pylist(), batch.column("wanted").to_pylist()):
-            text = unpack(packed)
-            for w in wanted:
-                low, more = divmod(w["spot"], _WIDE)
-                for name in names[:-1]:
-                    out[name].append(w[name])
-                out["bytes"].append(text[low:low + more + LENGTH])
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(out[name], kind) for name, kind in zip(names, kinds)], names)
+    names = ["anchor", "content", "n", "forms", "spot"]
+    for batch in _sliced(batches):
+        wanted = batch.column("wanted")
+        fields = wanted.flatten()
+        number = np.diff(wanted.offsets.to_numpy())
+        low, shape = np.divmod(fields.field("spot").to_numpy(), _WIDE)
+        ends = (low + shape % 256 + LENGTH).tolist()
+        low, at, found = low.tolist(), 0, []
+        for k, packed in enumerate(batch.column("packed")):
+            text = unpack(packed.as_py())
+            found += [text[low[j]:ends[j]] for j in range(at, at + number[k])]
+            at += number[k]
+        columns = [fields.field(name) for name in names[:-1]]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(shape // 256), pa.array(found, pa.binary())], [*names[:-1], "behind", "bytes"])
 
 
 def _equal_to_neighbours(text: bytes, at: np.ndarray, length: int) -> np.ndarray:
@@ -233,25 +248,57 @@ def _order(table: pa.Table) -> pa.Table:
                     ["anchor", "content", "runs"])
 
 
-def _contents(batches):
-    """Every string of large anchors' stretches by two hashes of its bytes."""
-    names = ["anchor", "content", "n", "place", "first", "second"]
-    for batch in batches:
-        out = [[] for _ in names]
-        for anchor, content, n, stretch in zip(*(batch.column(k).to_pylist() for k in ("anchor", "content", "n", "bytes"))):
-            places = range(len(stretch) - LENGTH + 1)
-            digests = np.frombuffer(b"".join(hashlib.blake2b(stretch[k:k + LENGTH], digest_size=16).digest() for k in places), np.int64)
-            for column, values in zip(out, ([anchor] * len(places), [content] * len(places), [n] * len(places), places, digests[::2], digests[1::2])):
-                column.extend(values)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(out, kinds)], names)
-
-
-def _run_list(places: Column) -> Column:
-    """First and last places of the runs in an ascending array of places."""
-    firsts = F.filter(places, lambda x: ~F.array_contains(places, x - 1))
-    lasts = F.filter(places, lambda x: ~F.array_contains(places, x + 1))
-    return F.flatten(F.zip_with(firsts, lasts, lambda a, b: F.array(a, b)))
+def _pieces(width: int):
+    """Pieces of at most ``width`` strings, under the hash of the core that all strings at such a place share."""
+    def run(batches):
+        names = ["anchor", "content", "start", "core", "piece", "n", "behind", "bytes"]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        number = lambda *parts: int.from_bytes(hashlib.blake2b(b"".join(parts), digest_size=8).digest(), "little", signed=True)
+        for batch in _sliced(batches):
+            rows = []
+            for anchor, content, n, behind, text in zip(*(batch.column(k).to_pylist() for k in ("anchor", "content", "n", "behind", "bytes"))):
+                far, near = behind, behind - (len(text) - LENGTH)  # of the first and the last string before the anchor
+                for k in range(near // width, far // width + 1):
+                    start, last = behind - min(width * k + width - 1, far), behind - max(width * k, near)
+                    own = text[start:last + LENGTH]
+                    core = text[behind - width * k:behind - width * k - width + 1 + LENGTH]
+                    tag = anchor.to_bytes(8, "little", signed=True) + k.to_bytes(2, "little")
+                    rows.append((anchor, content, start, number(tag, core), number(tag, (behind - start).to_bytes(2, "little"), own),
+                                 n, behind - start, own))
+            columns = list(zip(*rows)) if rows else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds)], names)
+    return run
+
+
+#: Distinct stretches (or pieces) with the number of them that share their anchor (or core).
+FORMS = "anchor long, content long, n long, forms long, behind long, bytes binary"
+RUNS = "anchor long, content long, runs array<int>"
+
+
+def _ordered(forms: DataFrame) -> DataFrame:
+    """Runs of repeated strings by suffix arrays, for anchors of a bounded number of forms."""
+    size = forms.agg(F.sum(F.length("bytes"))).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("anchor"), F.lit(size // BUCKET + 1)).cast("int")
+    return forms.select(bucket.alias("bucket"), "anchor", "content", "n", "bytes").groupBy("bucket").applyInArrow(_order, RUNS)
+
+
+def _refined(forms: DataFrame, widths: tuple[int, ...]) -> DataFrame:
+    """Runs of repeated strings of anchors with any number of forms, by pieces that share a core."""
+    pieces = settle(forms.mapInArrow(_pieces(widths[0]), "anchor long, content long, start int, core long, piece long, n long, behind long, bytes binary"))
+    tallies = pieces.groupBy(F.col("core").alias("anchor"), F.col("piece").alias("content")).agg(
+        F.sum("n").alias("n"), F.first("behind").alias("behind"), F.first("bytes").alias("bytes"))
+    several = tallies.groupBy("anchor").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("forms")).where(F.col("all") > 1)
+    met = settle(tallies.join(several, "anchor").select("anchor", "content", "n", "forms", "behind", "bytes"))
+    whole = met.where("forms = 1").select("anchor", "content", F.array(F.lit(0), F.length("bytes") - LENGTH).alias("runs"))
+    found = whole.unionByName(_ordered(met.where(F.col("forms").between(2, LARGE))))
+    large = met.where(F.col("forms") > LARGE)
+    if large.limit(1).count():
+        found = found.unionByName(_refined(large, widths[1:]))
+    found = found.select(F.col("anchor").alias("core"), F.col("content").alias("piece"), "runs")
+    found = pieces.join(found, ["core", "piece"]).select("anchor", "content", F.struct("start", "runs").alias("part"))
+    found = found.groupBy("anchor", "content").agg(F.collect_list("part").alias("parts"))
+    moved = F.flatten(F.transform("parts", lambda p: F.transform(p["runs"], lambda r: r + p["start"])))
+    return found.select("anchor", "content", moved.alias("runs"))
 
 
 # ---------------------------------------------------------------- ranges of bytes
@@ -278,7 +325,7 @@ def _kept(batches):
     unpack = zstandard.ZstdDecompressor().decompress
     names = ["doc_id", "n_bytes", "spans", "kept"]
     kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
-    for batch in batches:
+    for batch in _sliced(batches):
         out = [batch.column("doc_id").to_pylist(), [], [], []]
         for packed, found in zip(batch.column("packed").to_pylist(), batch.column("found").to_pylist()):
             text = unpack(packed)
@@ -307,22 +354,16 @@ def repeated(rows: DataFrame) -> DataFrame:
     anchor = Window.partitionBy("anchor")
     met = distinct.withColumns({"all": F.sum("n").over(anchor), "forms": F.count(F.lit(1)).over(anchor)})
     met = settle(met.where(F.col("all") > 1).drop("all"))
-    size = met.where(F.col("forms").between(2, LARGE)).agg(F.sum(F.lit(LENGTH) + F.col("spot") % _WIDE)).first()[0] or 0
-    buckets = size // BUCKET + 1
-    wanted = met.where("forms > 1").withColumn(
-        "bucket", F.when(F.col("forms") <= LARGE, F.pmod(F.xxhash64("anchor"), F.lit(buckets))).otherwise(-1).cast("int"))
-    wanted = wanted.groupBy("key").agg(F.collect_list(F.struct("bucket", "anchor", "content", "n", "spot")).alias("wanted"))
+    wanted = met.where("forms > 1").groupBy("key").agg(
+        F.collect_list(F.struct("anchor", "content", "n", "forms", "spot")).alias("wanted"))
     packed = rows.select("key", "text").mapInArrow(_pack, "key long, packed binary")
-    cut = packed.join(wanted, "key").select("packed", "wanted").mapInArrow(
-        _cut, "bucket int, anchor long, content long, n long, bytes binary")
-    ordered = cut.where("bucket >= 0").groupBy("bucket").applyInArrow(_order, "anchor long, content long, runs array<int>")
-    strings = cut.where("bucket < 0").mapInArrow(_contents, "anchor long, content long, n long, place int, first long, second long")
-    same = ["anchor", "first", "second"]
-    twice = strings.groupBy(*same).agg(F.sum("n").alias("all")).where(F.col("all") > 1).drop("all")
-    counted = strings.join(twice, same).groupBy("anchor", "content").agg(F.sort_array(F.collect_list("place")).alias("places"))
-    counted = counted.select("anchor", "content", _run_list(F.col("places")).alias("runs"))
-    whole = met.where("forms = 1").select("anchor", "content", F.array(F.lit(0), (F.col("spot") % _WIDE).cast("int")).alias("runs"))
-    return settle(whole.unionByName(ordered).unionByName(counted))
+    forms = settle(packed.join(wanted, "key").select("packed", "wanted").mapInArrow(_cut, FORMS))
+    whole = met.where("forms = 1").select("anchor", "content", F.array(F.lit(0), (F.col("spot") % 256).cast("int")).alias("runs"))
+    found = whole.unionByName(_ordered(forms.where(F.col("forms") <= LARGE)))
+    large = forms.where(F.col("forms") > LARGE)
+    if large.limit(1).count():
+        found = found.unionByName(_refined(large, WIDTHS))
+    return settle(found)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

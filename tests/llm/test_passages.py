@@ -94,10 +94,11 @@ def test_removal_where_ids_repeat_or_lack(spark, shared):
 
 
 def test_removal_with_all_limits_small(shared, monkeypatch):
-    """Anchors of more than three forms are counted by content, the others lie in many buckets."""
-    monkeypatch.setattr(passages, "LARGE", 3)
+    """Anchors of more than one or three forms are cut into pieces, twice, and the others lie in many buckets."""
     monkeypatch.setattr(passages, "BUCKET", 2000)
-    check(shared)
+    for large in (1, 3):
+        monkeypatch.setattr(passages, "LARGE", large)
+        check(shared)
 
 
 def test_stretches_of_small_slices_hold_every_string(monkeypatch):
@@ -106,7 +107,7 @@ def test_stretches_of_small_slices_hold_every_string(monkeypatch):
     data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
     for size in (1 << 20, 300, 37):
         monkeypatch.setattr(passages, "SLICE", size)
-        anchor, _, text, low, more = passages.stretches(data, ends)
+        anchor, _, text, low, _, more = passages.stretches(data, ends)
         held = sorted((t, s) for t, a, m in zip(text.tolist(), low.tolist(), more.tolist()) for s in range(a, a + m + 1))
         assert held == [(k, s) for k, t in enumerate(texts) for s in range(len(t) - passages.LENGTH + 1)]
 
