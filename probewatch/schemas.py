@@ -130,6 +130,9 @@ LAST_SAMPLE = T.StructType([
     T.StructField("is_up", T.IntegerType()),
 ])
 
+#: Hours whose events have to be looked at again.
+TARGET_HOUR = T.StructType([T.StructField("target_name", T.StringType()), T.StructField("period_hour", T.TimestampType())])
+
 INGEST_METRICS = T.StructType([
     T.StructField("cycle_at", T.TimestampType()),
     T.StructField("cycle_success", T.IntegerType()),

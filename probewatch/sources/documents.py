@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from probewatch.functions.scalars import ms_from_epoch
-from probewatch.schemas import DURATION_METRIC, POINT, PROBE_JOB, RANGE_DOCUMENT, SUCCESS_METRIC
+from probewatch.functions.scalars import ms_from_epoch, timestamp_from_ms
+from probewatch.schemas import DURATION_METRIC, POINT, PROBE_JOB, RANGE_DOCUMENT, RAW_RETENTION_DAYS, SUCCESS_METRIC
 from probewatch.sources.samples import merge_success_duration, stage_to_samples
 
 
@@ -91,13 +91,15 @@ def points_of(documents: DataFrame, as_of: Column, job: str = PROBE_JOB) -> Data
     return joined.withColumn("since", as_of).select(*POINT.fieldNames())
 
 
-def pair_points(points: DataFrame, waiting: DataFrame, as_of: Column, wait_seconds: int) -> tuple[DataFrame, DataFrame]:
+def pair_points(
+    points: DataFrame, waiting: DataFrame, as_of: Column, wait_seconds: int, keep_days: int = RAW_RETENTION_DAYS,
+) -> tuple[DataFrame, DataFrame]:
     """Probe samples that are complete, and the points that go on waiting.
 
     The documents of one window may arrive in different batches.  A success sample from a
-    document without durations waits for its duration, and a duration for its success
-    sample, until ``wait_seconds`` after they arrived; then the sample is emitted without
-    latency and the duration is dropped.
+    document without durations waits for its duration until ``wait_seconds`` after it
+    arrived; then it is emitted without latency.  A duration without its sample waits while
+    its time is within ``keep_days``: its sample may be stored already, or yet to come.
     """
     every = points.unionByName(waiting)
     key = ["ts_ms", "target_name", "instance"]
@@ -105,9 +107,11 @@ def pair_points(points: DataFrame, waiting: DataFrame, as_of: Column, wait_secon
         F.count_if(F.col("metric") == SUCCESS_METRIC).alias("_up"), F.count_if(F.col("metric") == DURATION_METRIC).alias("_took"))
     known = every.join(sides, key)
     young = as_of < F.col("since") + F.make_dt_interval(secs=F.lit(wait_seconds))
-    single = F.when(F.col("metric") == SUCCESS_METRIC, F.col("alone") & (F.col("_took") == 0)).otherwise(F.col("_up") == 0)
-    kept = known.where(young & single).select(*POINT.fieldNames())
-    ready = known.where(~(young & single))
+    accepted = F.to_date(timestamp_from_ms(F.col("ts_ms"))) >= F.date_sub(as_of.cast("date"), keep_days)
+    waits = F.when(F.col("metric") == SUCCESS_METRIC, young & F.col("alone") & (F.col("_took") == 0)).otherwise(
+        accepted & (F.col("_up") == 0))
+    kept = known.where(waits).select(*POINT.fieldNames())
+    ready = known.where(~waits)
     samples = merge_success_duration(
         ready.where(F.col("metric") == SUCCESS_METRIC), ready.where(F.col("metric") == DURATION_METRIC))
     return stage_to_samples(samples), kept

@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from probewatch import schemas as S
 from probewatch.operators import ingest as ops
 from probewatch.operators import inventory, kpi
-from probewatch.operators.series import _micros, at, at_micros
+from probewatch.operators.repair import late_hours
+from probewatch.operators.series import _datetime, _micros, at, at_micros
 from probewatch.sources.constraints import split_valid
 from probewatch.sources.documents import pair_points, points_of, rejected_documents, stream_documents
 from probewatch.sources.samples import range_window
+from probewatch.streaming.maintenance import maintain
 from probewatch.streaming.store import Store
 from probewatch.streaming.tracker import (
     advance_downtime, advance_latency, broadcast_if_small, incremental_status_events, split_open,
@@ -66,7 +68,7 @@ def hourly_stream(samples: DataFrame) -> DataFrame:
     )
 
 
-def _context(store: Store, new_rows: DataFrame, batch_id: int) -> DataFrame:
+def _context(store: Store, new_rows: DataFrame) -> DataFrame:
     """Stored rows that contain the predecessor of every new row.
 
     In order, that is the last sample of each target.  For late rows the hourly
@@ -86,11 +88,10 @@ def _context(store: Store, new_rows: DataFrame, batch_id: int) -> DataFrame:
     lower = hours.agg(F.unix_micros(F.min("h"))).first()[0]
     if lower is None:
         lower = late.agg(F.unix_micros(F.min("_first"))).first()[0]
-    lower = at_micros(lower)
     ordered = last.join(late, "target_name", "left_anti")
     stored = (
-        store.appended("samples", S.SAMPLE, before_batch=batch_id, since=lower.cast("date"))
-        .where(F.col("checked_at") >= lower)
+        store.appended("samples", S.SAMPLE, since=_datetime(lower).date())
+        .where(F.col("checked_at") >= at_micros(lower))
         .join(broadcast_if_small(late.select("target_name")), "target_name", "left_semi")
         .select("target_name", "checked_at", "is_up")
     )
@@ -124,7 +125,7 @@ def ingest_batch(
     if batch_id <= store.committed:
         return
     if not begun:
-        store.begin(batch_id)
+        store.begin(batch_id, as_of)
     valid, rejected = split_valid(batch)
     now = at(as_of)
     if retention:
@@ -132,13 +133,12 @@ def ingest_batch(
         rejected = rejected.unionByName(valid.where(~in_time).withColumn("reason", F.lit("too late")))
         valid = valid.where(in_time)
     # Stored keys are read only for the time span of the batch: by day
-    # partition and, as every file holds one batch, by its row-group statistics.
-    known = store.appended("samples", S.SAMPLE, before_batch=batch_id)
+    # and, as most files hold one batch, by their row-group statistics.
+    known = store.appended("samples", S.SAMPLE, days=[])
     first, last = valid.agg(F.unix_micros(F.min("checked_at")), F.unix_micros(F.max("checked_at"))).first()
     if first is not None:
-        lo, hi = at_micros(first), at_micros(last)
-        known = store.appended("samples", S.SAMPLE, before_batch=batch_id, since=lo.cast("date"))
-        known = known.where(F.col("checked_at").between(lo, hi))
+        known = store.appended("samples", S.SAMPLE, since=_datetime(first).date(), until=_datetime(last).date())
+        known = known.where(F.col("checked_at").between(at_micros(first), at_micros(last)))
     fresh = ops.dedup_new_rows(valid, known)
     store.stage_append("samples", fresh.sortWithinPartitions("target_name", "checked_at"), "checked_at", batch_id)
     store.stage_append("rejected", rejected.withColumn("seen_at", now), "seen_at", batch_id)
@@ -151,7 +151,7 @@ def ingest_batch(
         store.stage_replace(table, merged, batch_id, day=period, days=days)
 
     def status_table():
-        status = incremental_status_events(new_rows, _context(store, new_rows, batch_id))
+        status = incremental_status_events(new_rows, _context(store, new_rows))
         store.stage_append("status_events", status, "event_at", batch_id)
 
     def incident_tables(name, schema, advance, end):
@@ -177,6 +177,11 @@ def ingest_batch(
         )
         store.stage_replace("last_sample", last, batch_id)
 
+    def late_table():
+        late = late_hours(new_rows, broadcast_if_small(store.replaced("last_sample", S.LAST_SAMPLE)))
+        if not late.isEmpty():
+            store.stage_replace("late_hours", store.replaced("late_hours", S.TARGET_HOUR).unionByName(late).distinct(), batch_id)
+
     def metric_table():
         metrics = ops.batch_metrics(valid, new_rows, now, backlog_seconds)
         store.stage_append("ingest_metrics", metrics, "cycle_at", batch_id)
@@ -190,7 +195,7 @@ def ingest_batch(
         status_table, target_tables,
         partial(kpi_table, "daily_kpi", S.DAILY_KPI, "day", "period_start"),
         partial(kpi_table, "hourly_kpi", S.HOURLY_KPI, "hour", "period_hour"),
-        error_table, metric_table,
+        error_table, metric_table, late_table,
     ])
 
     def edge(n):
@@ -199,12 +204,9 @@ def ingest_batch(
     drop = {}
     if retention:
         drop = {"daily_kpi": edge(S.REPORT_RETENTION_DAYS), "daily_errors": edge(S.REPORT_RETENTION_DAYS),
-                "hourly_kpi": edge(S.HOURLY_RETENTION_DAYS)}
+                "hourly_kpi": edge(S.HOURLY_RETENTION_DAYS), "samples": edge(S.RAW_RETENTION_DAYS)}
+        drop |= dict.fromkeys(("status_events", "downtime_closed", "latency_closed"), edge(S.REPORT_RETENTION_DAYS))
     store.commit(batch_id, drop)
-    if retention:
-        store.remove_days_before("samples", edge(S.RAW_RETENTION_DAYS))
-        for table in ("status_events", "downtime_closed", "latency_closed"):
-            store.remove_days_before(table, edge(S.REPORT_RETENTION_DAYS))
 
 
 def ingest_cycle(store: Store, source: DataFrame, now: datetime) -> int:
@@ -227,6 +229,7 @@ def ingest_cycle(store: Store, source: DataFrame, now: datetime) -> int:
         except Exception:
             record_failure(store, now)
             raise
+    maintain(store, now)
     return left
 
 
@@ -267,16 +270,18 @@ def start_ingest(
     """Start the streaming query: documents to stored tables, one commit per batch.
 
     The documents of a window may fall into different batches: points without their
-    counterpart wait in a small table, for ``wait_seconds`` after they arrived.
+    counterpart wait in a small table.  A success sample waits for ``wait_seconds`` after it
+    arrived and is then stored without latency; a duration waits for its sample as long as
+    samples of its time are accepted, and amends a stored one, so the stored tables do not
+    depend on the order and the grouping in which the documents come.
     """
     store = Store(spark, store_root)
 
     def apply(documents: DataFrame, batch_id: int) -> None:
         if batch_id <= store.committed:
             return
-        now = clock()
+        now = store.begin(batch_id, clock())
         try:
-            store.begin(batch_id)
             # Parse once: the batch is read several times below.
             points = store.scratch("points", points_of(documents, at(now)), S.POINT)
             ready, waiting = pair_points(points, store.replaced("waiting_points", S.POINT), at(now), wait_seconds)
@@ -285,6 +290,7 @@ def start_ingest(
             bad = rejected_documents(documents).withColumn("seen_at", at(now))
             store.stage_append("rejected_documents", bad, "seen_at", batch_id)
             ingest_batch(store, samples, batch_id, now, begun=True)
+            maintain(store, now)
         except Exception:
             record_failure(store, now)
             raise

@@ -249,13 +249,6 @@ def test_deduplicated_and_windowed_streams(spark, tmp_path):
     assert [(r.probes, r.up_probes, r.down_probes) for r in got] == [(2, 1, 1)]
 
 
-def test_first_backup_is_kept(spark, tmp_path):
-    store = Store(spark, str(tmp_path / "s"))
-    store.backup_once("daily_kpi", spark.range(1))
-    store.backup_once("daily_kpi", spark.range(5))
-    assert spark.read.parquet(str(tmp_path / "s" / "daily_kpi_pre_1m")).count() == 1
-
-
 @pytest.mark.parametrize("high, now, windows, left", [
     (0, 100_000, [(96_220, 100_000)], 0),
     (99_940, 100_000, [(99_760, 100_000)], 0),
