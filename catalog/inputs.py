@@ -19,6 +19,9 @@ START = datetime(2024, 1, 1)
 STORED_UNTIL = datetime(2024, 1, 21)  # the store holds samples before this
 BATCH_FROM = datetime(2024, 1, 19)    # the batch re-reads two days of overlap
 HISTORY_AS_OF = datetime(2001, 8, 1)
+NORMALIZED_AT = datetime(2024, 2, 10)  # raw samples of January's first ten days are no longer kept by then
+STITCHED_FROM = datetime(2000, 3, 3, 7)  # before the hourly tier, and no day's start
+SLIDING = Grid(START, AS_OF, 60)
 
 HOURS = Grid(START, AS_OF, 3600)
 LOOKBACK = 3 * 3600
@@ -92,6 +95,21 @@ def batch_samples(spark, sf_dir) -> DataFrame:
     return samples(spark, sf_dir).where(F.col("checked_at") >= at(BATCH_FROM))
 
 
+LATE_EVERY = 50  # samples at seconds that this divides come late
+
+
+def _is_late():
+    return F.unix_seconds("checked_at") % LATE_EVERY == 0
+
+
+def late_samples(spark, sf_dir) -> DataFrame:
+    return samples(spark, sf_dir).where(_is_late())
+
+
+def timely_samples(spark, sf_dir) -> DataFrame:
+    return samples(spark, sf_dir).where(~_is_late())
+
+
 def batch_with_copies(spark, sf_dir) -> DataFrame:
     """The batch with every DOWN sample repeated under a second instance."""
     batch = batch_samples(spark, sf_dir)

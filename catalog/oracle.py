@@ -149,29 +149,30 @@ def rollup(unit: str) -> str:
       db_type, environment, criticality, {_RATIOS} FROM kpi GROUP BY 1, 2, 3, 4, 5"""
 
 
-def downtime(first: str = "arg_min(error_text, checked_at) FILTER (WHERE error_text IS NOT NULL)") -> str:
+def downtime(first: str = "arg_min(error_text, checked_at) FILTER (WHERE error_text IS NOT NULL)",
+             src: str = "samples", out: str = "down") -> str:
     """DOWN samples of one incident have the same number of UP samples before them."""
-    return f"""placed AS (SELECT *,
+    return f"""{out}_placed AS (SELECT *,
         count(*) FILTER (WHERE is_up = 1) OVER (PARTITION BY target_name ORDER BY checked_at) AS ups,
         min(checked_at) FILTER (WHERE is_up = 1) OVER (PARTITION BY target_name ORDER BY checked_at
-          ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_up FROM samples),
-    down AS (SELECT target_name, min(checked_at) AS down_start, max(checked_at) AS last_down_at,
+          ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_up FROM {src}),
+    {out} AS (SELECT target_name, min(checked_at) AS down_start, max(checked_at) AS last_down_at,
         any_value(next_up) AS down_end, {MAXL}, count(*) AS down_samples, {first} AS first_error_text,
         arg_max(error_text, checked_at) FILTER (WHERE error_text IS NOT NULL) AS last_error_text,
         max(latency_ms) AS max_latency_ms
-      FROM placed WHERE is_up = 0 GROUP BY target_name, ups)"""
+      FROM {out}_placed WHERE is_up = 0 GROUP BY target_name, ups)"""
 
 
-def latency(closes: str) -> str:
+def latency(closes: str, src: str = "samples", out: str = "slow") -> str:
     """Slow samples of one incident have the same number of other samples before them."""
-    return f"""placed AS (SELECT *, coalesce({_SLOW}, false) AS hit,
+    return f"""{out}_placed AS (SELECT *, coalesce({_SLOW}, false) AS hit,
         count(*) FILTER (WHERE NOT coalesce({_SLOW}, false)) OVER (PARTITION BY target_name ORDER BY checked_at) AS others,
         min(checked_at) FILTER (WHERE {closes}) OVER (PARTITION BY target_name ORDER BY checked_at
-          ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_close FROM samples),
-    slow AS (SELECT target_name, min(checked_at) AS slow_start, max(checked_at) AS last_slow_at,
+          ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_close FROM {src}),
+    {out} AS (SELECT target_name, min(checked_at) AS slow_start, max(checked_at) AS last_slow_at,
         any_value(next_close) AS slow_end, {MAXL}, count(*) AS slow_samples, sum(latency_ms) AS latency_ms_sum,
         count(latency_ms) AS latency_ms_count, max(latency_ms) AS max_latency_ms
-      FROM placed WHERE hit GROUP BY target_name, others)"""
+      FROM {out}_placed WHERE hit GROUP BY target_name, others)"""
 
 
 _DOWN_OUT = f"""SELECT target_name, down_start, down_end, last_down_at, {L}, down_samples,
@@ -291,6 +292,33 @@ _STATUS_EVENTS = f"""SELECT target_name, checked_at AS event_at, {L}, prev AS pr
       CAST(latency_ms AS DOUBLE) AS latency_ms, error_text
     FROM (SELECT *, lag(is_up) OVER (PARTITION BY target_name ORDER BY checked_at) AS prev FROM samples)
     WHERE prev IS DISTINCT FROM is_up"""
+TIMELY = "timely AS (SELECT * FROM samples WHERE CAST(floor(epoch(checked_at)) AS BIGINT) % 50 <> 0)"
+
+
+def changed(out: str, source: str) -> str:
+    """Rows of ``out`` over all samples and over the timely ones, that the other does not have."""
+    now, before = out, out.replace(f"FROM {source}", f"FROM timely_{source}" if source != "samples" else "FROM timely")
+    return f"""SELECT *, 'added' AS change FROM (({now}) EXCEPT ALL ({before}))
+      UNION ALL SELECT *, 'removed' AS change FROM (({before}) EXCEPT ALL ({now}))"""
+
+
+STITCH = f"""tiers AS (
+    SELECT date_trunc('minute', checked_at) AS period_start, target_name, 1 AS n, CAST(is_up = 1 AS INTEGER) AS up,
+      'raw' AS tier, 'minute' AS grain, CAST({HIST} AS DATE) - 30 AS since, CAST(NULL AS DATE) AS until FROM samples
+    UNION ALL SELECT date_trunc('hour', checked_at), target_name, 1, CAST(is_up = 1 AS INTEGER), 'hourly', 'hour',
+      CAST({HIST} AS DATE) - 400, {{hours_until}} FROM samples
+    UNION ALL SELECT date_trunc('day', checked_at), target_name, 1, CAST(is_up = 1 AS INTEGER), 'daily', 'day',
+      NULL, CAST({HIST} AS DATE) - 400 FROM samples),
+  chosen AS (SELECT * FROM tiers WHERE ({{grains}}) AND (since IS NULL OR period_start >= since)
+    AND (until IS NULL OR period_start < until) AND period_start >= TIMESTAMP '2000-03-03 07:00:00' AND period_start < {HIST})"""
+
+
+def stitched(grains: str, hours_until: str) -> str:
+    return q(HISTORY, STITCH.format(grains=grains, hours_until=hours_until), f"""SELECT period_start, target_name,
+      CAST(sum(n) AS BIGINT) AS probes, CAST(sum(up) AS BIGINT) AS up_probes, {pct('sum(up)', 'sum(n)')} AS availability_pct,
+      tier, 'samples' AS weight, grain FROM chosen GROUP BY period_start, target_name, tier, grain""")
+
+
 _SAMPLE_OUT = f"checked_at, target_name, {L}, is_up, CAST(latency_ms AS DOUBLE) AS latency_ms, error_text"
 _ABSENT = """absent AS (SELECT t AS eval_time, CAST(1 AS DOUBLE) AS value FROM grid
       WHERE NOT EXISTS (SELECT 1 FROM minute_hits h WHERE h.t = grid.t))"""
@@ -353,6 +381,10 @@ ORACLES = {
       f"o AS ({kpi_raw('stored', 'day')})",
       "kpi AS (SELECT * FROM n UNION ALL SELECT * FROM o WHERE period_start < (SELECT min(period_start) FROM n))",
       kpi_out("kpi", "period_start")),
+    "normalized_tables": q(SAMPLES, "recent AS (SELECT * FROM samples WHERE checked_at >= TIMESTAMP '2024-01-11 00:00:00')",
+      "older AS (SELECT * FROM samples WHERE checked_at < TIMESTAMP '2024-01-11 00:00:00')",
+      f"m AS ({minutes('recent')})", f"n AS ({kpi_norm('m', 'day')})", f"o AS ({kpi_raw('older', 'day')})",
+      "kpi AS (SELECT * FROM n UNION ALL SELECT * FROM o)", kpi_out("kpi", "period_start")),
     "kpi_rebuild_hourly": q(SAMPLES, STORED, BATCH, f"m AS ({minutes('batch')})", f"n AS ({kpi_norm('m', 'hour')})",
       f"o AS ({kpi_raw('stored', 'hour')})",
       "kpi AS (SELECT * FROM n UNION ALL SELECT * FROM o WHERE period_hour < (SELECT min(period_hour) FROM n))",
@@ -471,6 +503,18 @@ ORACLES = {
     "incremental_status_events": q(SAMPLES, _STATUS_EVENTS + f" AND checked_at >= {STORED_UNTIL}"),
     "incremental_downtime_events": q(SAMPLES, downtime("arg_min_null(error_text, checked_at)"), _DOWN_OUT),
     "incremental_latency_events": q(SAMPLES, latency(f"NOT coalesce({_SLOW}, false)"), _SLOW_OUT),
+    "repair_events": q(SAMPLES, TIMELY, downtime(), downtime(src="timely", out="timely_down"), changed(_DOWN_OUT, "down")),
+    "repair_latency_events": q(SAMPLES, TIMELY, latency(f"NOT {_SLOW}"), latency(f"NOT {_SLOW}", "timely", "timely_slow"),
+      changed(_SLOW_OUT, "slow")),
+    "repair_status_events": q(SAMPLES, TIMELY, changed(_STATUS_EVENTS, "samples")),
+    "sliding_availability": q(SAMPLES, SUCCESS, grid(60),
+      f"SELECT * REPLACE (round(value, 10) AS value) FROM ({over('success', 'avg', 86400)})"),
+    "sliding_worst_latency": q(SAMPLES, DURATION, grid(420),
+      f"SELECT * REPLACE (round(value, 10) AS value) FROM ({over('duration', 'max', 21600)})"),
+    "availability_trend": q(SAMPLES, SUCCESS, grid(600), f"inner_v AS ({over('success', 'min', 600)})",
+      f"hours AS (SELECT unnest(generate_series({START}, {AS_OF}, INTERVAL 1 HOUR)) AS h)",
+      f"""SELECT {SL}, h AS eval_time, round(avg(value) * 100, 10) AS value FROM hours
+        JOIN inner_v ON eval_time > h - INTERVAL 1 DAY AND eval_time <= h GROUP BY ALL"""),
     "min_over_time": q(SAMPLES, SUCCESS, _H, over("success", "min", 10800)),
     "avg_over_time": q(SAMPLES, DURATION, _H, f"SELECT * REPLACE (round(value, 10) AS value) FROM ({over('duration', 'avg', 10800)})"),
     "availability_range": q(SAMPLES, SUCCESS, _H, _SUB, _AVAIL,
@@ -601,6 +645,8 @@ ORACLES = {
       f"src AS (SELECT period_minute AS period, target_name, 1 AS n, is_up AS up FROM ({minutes()}))", "minutes"),
     "tiered_report": _tier("hour", "hourly",
       f"src AS (SELECT period_hour AS period, target_name, probes AS n, up_probes AS up FROM ({kpi_raw('samples', 'hour')}))"),
+    "tiered_report_stitched": stitched("true", f"CAST({HIST} AS DATE) - 30"),
+    "tiered_report_stitched_hour": stitched("grain <> 'minute'", "CAST(NULL AS DATE)"),
     "tiered_report_week": _tier("week", "daily",
       f"src AS (SELECT CAST(period_start AS TIMESTAMP) AS period, target_name, probes AS n, up_probes AS up FROM ({kpi_raw('samples', 'day')}))"),
 }

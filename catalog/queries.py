@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -11,13 +12,15 @@ from pyspark.sql import types as T
 from catalog import inputs as I
 from probewatch import schemas as S
 from probewatch.functions import scalars
-from probewatch.operators import alerts, events, ingest, inventory, kpi, series, slices
-from probewatch.operators.lineage import cut_lineage
+from probewatch.operators import alerts, events, ingest, inventory, kpi, repair, series, slices
+from probewatch.operators.lineage import cut_lineage, shared_folder
 from probewatch.plans import dashboards, recompute, reports
 from probewatch.sources import merge_success_duration, range_window, violations
 from probewatch.sources.documents import rejected_documents, samples_from_documents
 from probewatch.sources.samples import stage_to_samples
-from probewatch.streaming import tracker
+from probewatch.streaming import maintenance, tracker
+from probewatch.streaming.ingest import ingest_batch
+from probewatch.streaming.store import Store
 
 def NOW():
     return series.at(I.AS_OF)
@@ -173,6 +176,40 @@ def _drift(spark, sf):
     return reports.kpi_drift(I.samples(spark, sf), kpi.kpi_raw(I.stored_samples(spark, sf), "day"))
 
 
+_EVENTS = {"status_events": events.status_events, "downtime_events": events.downtime_events, "latency_events": events.latency_events}
+
+
+def _repair(name):
+    """What late samples change in the stored events of the others: replacements and deletions."""
+    def run(spark, sf):
+        everything = I.samples(spark, sf)
+        _, replaced, fresh = repair.repair(
+            name, _EVENTS[name](I.timely_samples(spark, sf)), everything, repair.hours_of(I.late_samples(spark, sf)),
+            kpi.kpi_raw(everything, "hour"))
+        return repair.event_changes(replaced, fresh)
+    return run
+
+
+def _normalized(spark, sf):
+    """Daily KPI of a store that took two batches and was normalised later."""
+    store = Store(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}")
+    ingest_batch(store, I.stored_samples(spark, sf), 0, I.AS_OF)
+    ingest_batch(store, I.batch_samples(spark, sf), 1, I.AS_OF)
+    maintenance.normalize(store, I.NORMALIZED_AT)
+    return store.replaced("daily_kpi", S.DAILY_KPI)
+
+
+def _stitched(unit):
+    """History from the tiers as they are kept at its end."""
+    def run(spark, sf):
+        raw = I.history_samples(spark, sf)
+        return reports.tiered_report_stitched(
+            ingest.keep_samples(raw, HIST_NOW()), ingest.keep_hourly(kpi.kpi_raw(raw, "hour"), HIST_NOW()),
+            ingest.keep_daily(kpi.kpi_raw(raw, "day"), HIST_NOW()),
+            unit=unit, start=I.STITCHED_FROM, end=I.HISTORY_AS_OF, as_of=I.HISTORY_AS_OF)
+    return run
+
+
 def _tier(unit, weight="samples"):
     def run(spark, sf):
         samples = I.samples(spark, sf)
@@ -225,6 +262,7 @@ QUERIES = {
     "kpi_rebuild_hourly": lambda s, d: _rebuild(s, d, "hour"),
     "errors_rebuild": _errors_rebuild,
     "rebuild_summary": _rebuild_summary,
+    "normalized_tables": _normalized,
     "documents_to_samples": _documents_to_samples,
     "rejected_documents": lambda s, d: rejected_documents(I.range_documents(s, d)).select("source_file", "status"),
     "rejected_values": _rejected_values,
@@ -276,9 +314,17 @@ QUERIES = {
     "incremental_status_events": _incremental_status,
     "incremental_downtime_events": lambda s, d: _incremental(s, d, tracker.advance_downtime, S.DOWNTIME_EVENT, "down_end"),
     "incremental_latency_events": lambda s, d: _incremental(s, d, tracker.advance_latency, S.LATENCY_EVENT, "slow_end"),
+    "repair_events": _repair("downtime_events"),
+    "repair_latency_events": _repair("latency_events"),
+    "repair_status_events": _repair("status_events"),
     # time series
     "min_over_time": lambda s, d: series.over_time(series.success_series(I.samples(s, d)), "min", I.LOOKBACK, I.HOURS),
     "avg_over_time": lambda s, d: series.over_time(series.duration_series(I.samples(s, d)), "avg", I.LOOKBACK, I.HOURS),
+    "sliding_availability": lambda s, d: series.over_time(
+        series.success_series(I.samples(s, d)), "avg", 86_400, I.SLIDING),
+    "sliding_worst_latency": lambda s, d: series.over_time(
+        series.duration_series(I.samples(s, d)), "max", 6 * 3600, series.Grid(I.START, I.AS_OF, 420)),
+    "availability_trend": _on(dashboards.availability_trend, I.HOURS, 86_400, step=600),
     "availability_range": _on(dashboards.availability_range, I.AS_OF, MONTH, step=3600),
     "down_minutes": _on(dashboards.down_minutes, I.AS_OF, MONTH, step=3600),
     "status_changes": _on(dashboards.status_changes, I.START, I.AS_OF),
@@ -343,4 +389,6 @@ QUERIES = {
     "tiered_report_minute_weight": _tier("minute", "minutes"),
     "tiered_report": _tier("hour"),
     "tiered_report_week": _tier("week"),
+    "tiered_report_stitched": _stitched("minute"),
+    "tiered_report_stitched_hour": _stitched("hour"),
 }

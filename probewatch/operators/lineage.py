@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; below the warehouse only where none is named."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints").rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -14,6 +20,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
+        context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()

@@ -140,3 +140,9 @@ def repair_events(name: str, stored: DataFrame, samples: DataFrame, late: DataFr
     """The repaired table of events."""
     kept, _, fresh = repair(name, stored, samples, late, hourly, **how)
     return kept.unionByName(fresh)
+
+
+def event_changes(replaced: DataFrame, fresh: DataFrame) -> DataFrame:
+    """What a repair publishes: ``added`` events, and ``removed`` ones that are gone or have another form."""
+    added = fresh.exceptAll(replaced).withColumn("change", F.lit("added"))
+    return added.unionByName(replaced.exceptAll(fresh).withColumn("change", F.lit("removed")))

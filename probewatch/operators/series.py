@@ -170,13 +170,54 @@ _PARTS = {
 }
 
 
+#: Windows of more steps than this do not repeat panes.
+REPEATED = 4
+
+
+def _spread(df: DataFrame, first: Column, last: Column) -> DataFrame:
+    """A row for each grid point ``_k`` from ``first`` to ``last``."""
+    bounded = df.withColumn("_k0", first).withColumn("_k1", last).where(F.col("_k0") <= F.col("_k1"))
+    return bounded.withColumn("_k", F.explode(F.sequence("_k0", "_k1")))
+
+
+def _two_pieces(panes: DataFrame, fn: str, labels: list[str], width: int, per_step: int, grid: Grid) -> DataFrame:
+    """At most two partial results (a[, b]) for each series and grid point ``_k``, however long the window.
+
+    Panes are cut into blocks as long as the window (``width`` panes).  A window ends in one
+    block and begins in the one before, so its result is that of a block's panes up to the
+    window's end and of the panes of the block before from the window's start on.  Both are
+    running aggregates over one block, whose length does not follow the time range; a pane's
+    running values serve the grid points up to the next pane that exists.
+    """
+    merge = F.min if fn == "min" else F.max if fn == "max" else F.sum
+    parts = [c for c in ("a", "b") if c in panes.columns]
+    p = F.col("_p")
+    block = (p - F.pmod(p, F.lit(width))).cast("long")  # its first pane
+    up = Window.partitionBy(*labels, "_block").orderBy("_p")
+    down = Window.partitionBy(*labels, "_block").orderBy(F.col("_p").desc())
+    running = panes.withColumn("_block", block).withColumns({
+        **{f"_up_{c}": merge(c).over(up.rowsBetween(Window.unboundedPreceding, 0)) for c in parts},
+        **{f"_down_{c}": merge(c).over(down.rowsBetween(Window.unboundedPreceding, 0)) for c in parts},
+        "_next": F.lead("_p").over(up), "_before": F.lag("_p").over(up)})
+    begin, last = F.col("_block"), F.lit(grid.points - 1)
+    # first and last pane that a grid point's window may end with
+    own = (p, F.least(F.coalesce(F.col("_next"), begin + width) - 1, begin + width - 1))
+    following = (F.greatest(F.coalesce(F.col("_before"), begin - 1) + width, begin + width), p + width - 1)
+    side = lambda name, ends: F.struct(
+        F.greatest(_ceil_div(ends[0], per_step), F.lit(0)).alias("k0"), F.least(F.floor(ends[1] / per_step), last).alias("k1"),
+        *[F.col(f"_{name}_{c}").alias(c) for c in parts])
+    pieces = running.select(*labels, F.explode(F.array(side("up", own), side("down", following))).alias("e"))
+    pieces = pieces.select(*labels, *[F.col(f"e.{c}").alias(c) for c in parts], F.col("e.k0").alias("_from"), F.col("e.k1").alias("_to"))
+    return _spread(pieces, F.col("_from"), F.col("_to"))
+
+
 def over_time(
     df: DataFrame, fn: str, window: int, grid: Grid, *, labels: Sequence[str] = SERIES_LABELS,
 ) -> DataFrame:
     """``min/max/sum/count/avg`` over the left-open range ``(t - window, t]``.
 
-    Samples are first reduced to panes of ``gcd(window, step)`` seconds; only
-    panes, not samples, are repeated for overlapping windows.
+    Samples are first reduced to panes of ``gcd(window, step)`` seconds.  Windows of up to
+    ``REPEATED`` steps repeat panes; longer ones are put together from two pieces each.
     """
     labels = list(labels)
     parts, final = _PARTS[fn]
@@ -188,13 +229,12 @@ def over_time(
     partial = paned.groupBy(*labels, "_p").agg(*[f("value").alias(n) for n, f in parts.items()])
     if per_step == per_window == 1:
         covered = partial.withColumn("_k", F.col("_p")).where(F.col("_k").between(0, grid.points - 1))
+    elif per_window > REPEATED * per_step:
+        covered = _two_pieces(partial, fn, labels, per_window, per_step, grid)
     else:
         k0 = F.greatest(_ceil_div(F.col("_p"), per_step), F.lit(0))
         k1 = F.least(_ceil_div(F.col("_p") + per_window, per_step) - 1, F.lit(grid.points - 1))
-        covered = (
-            partial.withColumn("_k0", k0).withColumn("_k1", k1).where(F.col("_k0") <= F.col("_k1"))
-            .withColumn("_k", F.explode(F.sequence("_k0", "_k1")))
-        )
+        covered = _spread(partial, k0, k1)
     return covered.groupBy(*labels, "_k").agg(final().alias("value")).select(
         *labels, eval_time(F.col("_k"), grid).alias("eval_time"), "value"
     )
@@ -208,6 +248,16 @@ def subquery(vector: DataFrame, fn: str, at: Column, *, labels: Sequence[str] =
     )
 
 
+def subquery_over_time(
+    vector: DataFrame, fn: str, window: int, grid: Grid, *, labels: Sequence[str] = SERIES_LABELS,
+) -> DataFrame:
+    """``fn((expr)[window:step])`` on a grid of its own: ``vector`` is on the inner grid, ``grid`` the outer one.
+
+    The inner results are computed once and shared by all outer windows that hold them.
+    """
+    return over_time(vector.withColumnRenamed("eval_time", "ts"), fn, window, grid, labels=labels)
+
+
 def changes(
     df: DataFrame, after: datetime, end: datetime, *, labels: Sequence[str] = SERIES_LABELS,
     slice_seconds: int = SLICE_SECONDS,

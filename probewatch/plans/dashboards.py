@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from probewatch.functions.scalars import grade, state_text
 from probewatch.operators.series import (
     Grid, aggregate, at, changes, compare, duration_series, instant_vector, merge_equal, over_time,
-    scale, select_labels, subquery, success_series, vector_and,
+    scale, select_labels, subquery, subquery_over_time, success_series, vector_and,
 )
 from probewatch.schemas import GRID_STEP_SECONDS, LOOKBACK_SECONDS
 
@@ -57,6 +57,14 @@ def availability_range(samples: DataFrame, end: datetime, range_seconds: int = 8
     return scale(_availability(samples, end, range_seconds, step, labels), 100)
 
 
+def availability_trend(samples: DataFrame, grid: Grid, range_seconds: int = 86_400, *,
+                       step: int = GRID_STEP_SECONDS, **labels) -> DataFrame:
+    """``availability_range`` at each point of a grid, over the range before it."""
+    inner = Grid.aligned(grid.start - timedelta(seconds=range_seconds), grid.end, step)
+    worst = over_time(success_series(select_labels(samples, **labels)), "min", step, inner)
+    return scale(subquery_over_time(worst, "avg", range_seconds, grid), 100)
+
+
 def availability(samples: DataFrame, end: datetime, range_seconds: int = 86_400, *,
                  step: int = GRID_STEP_SECONDS, **labels) -> DataFrame:
     """Mean over targets of their availability."""

@@ -182,3 +182,38 @@ def tiered_report(
         F.sum("probes").alias("probes"), F.sum("up_probes").alias("up_probes"),
         availability_pct(F.sum("up_probes"), F.sum("probes")).alias("availability_pct"),
     ).withColumn("tier", F.lit(tier)).withColumn("weight", F.lit(weight))
+
+
+def _first_whole_day(as_of: datetime, days: int) -> datetime:
+    """The first day of which a tier keeps everything."""
+    edge = as_of - timedelta(days=days)
+    day = edge.replace(hour=0, minute=0, second=0, microsecond=0)
+    return day if day == edge else day + timedelta(days=1)
+
+
+def tiered_report_stitched(
+    samples: DataFrame, hourly: DataFrame, daily: DataFrame, *,
+    unit: str, start: datetime, end: datetime, as_of: datetime, weight: str = "samples",
+) -> DataFrame:
+    """``tiered_report`` over any range: each period from the finest tier, up to ``unit``, that still holds it.
+
+    Tiers meet at the first day that the finer one keeps whole, so every period comes from
+    exactly one tier.  Only whole periods inside ``[start, end)`` are returned; ``grain`` says
+    how long a period is.
+    """
+    grains = {"minute": ["minute", "hour", "day"], "hour": ["hour", "day"]}.get(unit, [unit])
+    keeps = {"minute": RAW_RETENTION_DAYS, "hour": HOURLY_RETENTION_DAYS}
+    out, until = None, end
+    for grain in grains:
+        since = max(start, _first_whole_day(as_of, keeps[grain])) if grain in keeps else start
+        if since >= until:
+            continue
+        part = tiered_report(samples, hourly, daily, unit=grain, start=since, end=until, as_of=as_of, weight=weight)
+        first = F.col("period_start")
+        behind = F.date_trunc(grain, first) + F.expr(f"INTERVAL 1 {grain}")
+        part = part.where((first >= at(since)) & (behind <= at(until))).withColumn("grain", F.lit(grain))
+        out = part if out is None else out.unionByName(part)
+        until = since
+    if out is None:
+        raise ValueError("the range is empty")
+    return out

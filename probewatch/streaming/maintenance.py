@@ -89,10 +89,6 @@ def amend_latency(store: Store, slow_ms=S.SLOW_MS) -> int:
 
 # ---------------------------------------------------------------- events after late samples
 
-def _changed_days(replaced: DataFrame, fresh: DataFrame, day: str) -> list[str]:
-    return _days(replaced.exceptAll(fresh).unionByName(fresh.exceptAll(replaced)), day)
-
-
 def repair_late(store: Store, as_of: datetime, slow_ms=S.SLOW_MS) -> int:
     """Repair the stored events around all hours noted since the last repair; returns the days rewritten.
 
@@ -124,7 +120,7 @@ def repair_late(store: Store, as_of: datetime, slow_ms=S.SLOW_MS) -> int:
             kept, replaced, fresh = repair.repair(name, stored, samples, late, hourly, slow_ms=slow_ms, first_day=first)
             replaced, fresh = store.scratch(f"replaced_{name}", replaced, schema), store.scratch(f"fresh_{name}", fresh, schema)
             ended = F.col(stop).isNotNull()
-            days = _changed_days(replaced.where(ended), fresh.where(ended), stop)
+            days = _days(repair.event_changes(replaced.where(ended), fresh.where(ended)), stop)
             if days:
                 rows = kept.unionByName(fresh).where(ended & F.to_date(stop).cast("string").isin(days))
                 store.stage_days(closed, rows, stop, days, job)

@@ -6,8 +6,9 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from probewatch.operators import events, series, slices
+from probewatch.operators import events, ingest, kpi, series, slices
 from probewatch.operators.alerts import alert_history, alert_states
+from probewatch.plans import dashboards, reports
 from tests.conftest import row, when
 
 WIDTHS = [1, 60, 600, 86_400]
@@ -174,3 +175,73 @@ def test_no_window_over_a_whole_target_of_raw_rows(spark, samples):
     plan = events.downtime_events(samples(*random_rows(1)))._jdf.queryExecution().executedPlan().toString()
     sorts = [line for line in plan.split("\n") if "Window [lag(checked_at" in line]
     assert sorts and all("_slice" in line for line in sorts)
+
+
+@pytest.mark.parametrize("fn", ["min", "max", "sum", "count", "avg"])
+@pytest.mark.parametrize("window, step", [(600, 60), (3600, 420), (1000, 70), (7200, 7200 // 5), (86_400, 600)])
+def test_sliding_windows(samples, fn, window, step):
+    """Long windows are put together from two pieces, over gaps and before the first and after the last sample."""
+    rows = random_rows(8)
+    grid = series.Grid(when("00:07") - timedelta(hours=3), when("09:00"), step)
+    brute = {"min": min, "max": max, "sum": sum, "count": len, "avg": lambda v: sum(v) / len(v)}[fn]
+    want = {}
+    for t, hist in by_target(rows).items():
+        for k in range(grid.points):
+            at = grid.start + timedelta(seconds=k * step)
+            values = [float(r[10]) / 1000 for r in hist if r[10] is not None and at - timedelta(seconds=window) < r[0] <= at]
+            if values:
+                want[t, at] = round(brute(values), 9)
+    got = series.over_time(series.duration_series(samples(*rows)), fn, window, grid)
+    assert {(r.target_name, utc(r.eval_time)): round(r.value, 9) for r in got.collect()} == want
+
+
+def test_sliding_windows_do_not_repeat_panes(samples):
+    """A day's window each minute: at most two rows for each result."""
+    grid = series.Grid(when("00:00"), when("23:59"), 60)
+    rows = samples(*[row(when("00:00") + timedelta(minutes=k), int(k % 7 > 0)) for k in range(1440)])
+    labels = list(series.SERIES_LABELS)
+    source = series.success_series(rows)
+    panes = source.groupBy(*labels, F.floor((F.unix_seconds("ts") - F.lit(grid.origin // 1_000_000)) / 60).alias("_p")).agg(F.min("value").alias("a"))
+    assert series._two_pieces(panes, "min", labels, 1440, 1, grid).count() <= 2 * 1440
+
+
+def test_subquery_on_a_step_grid(samples):
+    """Each outer window averages the inner results in its left-open range."""
+    rows = random_rows(9)
+    outer = series.Grid(when("01:30"), when("06:00"), 900)
+    got = dashboards.availability_trend(samples(*rows), outer, 3600, step=300)
+    want = {}
+    for t, hist in by_target(rows).items():
+        inner = {}
+        for k in range(-12, 73):
+            at = when("00:00") + timedelta(seconds=300 * k)
+            values = [r[9] for r in hist if at - timedelta(seconds=300) < r[0] <= at]
+            if values:
+                inner[at] = min(values)
+        for k in range(outer.points):
+            at = when("01:30") + timedelta(seconds=900 * k)
+            values = [v for x, v in inner.items() if at - timedelta(hours=1) < x <= at]
+            if values:
+                want[t, at] = round(100 * sum(values) / len(values), 9)
+    assert {(r.target_name, utc(r.eval_time)): round(r.value, 9) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("unit", ["minute", "hour", "day"])
+def test_stitched_periods_come_from_one_tier_each(samples, unit):
+    now = when("13:30")
+    times = [now - timedelta(hours=h, minutes=7) for h in (0, 5, 700, 719, 721, 735, 800, 9580, 9599, 9612, 9630, 12_000)]
+    raw = samples(*[row(t, 1) for t in times])
+    got = reports.tiered_report_stitched(
+        ingest.keep_samples(raw, F.lit(now)), ingest.keep_hourly(kpi.kpi_raw(raw, "hour"), F.lit(now)), kpi.kpi_raw(raw, "day"),
+        unit=unit, start=when("00:00") - timedelta(days=500), end=now, as_of=now).collect()
+    kept = {"minute": now - timedelta(days=30), "hour": now - timedelta(days=400)}
+    finest = {"minute": ["minute", "hour", "day"], "hour": ["hour", "day"], "day": ["day"]}[unit]
+    edge = {g: (t + timedelta(days=1)).replace(hour=0, minute=0) for g, t in kept.items()}
+    want = {}
+    for t in times:
+        grain = next(g for g in finest if g == "day" or t >= edge[g])
+        cut = t.replace(second=0) if grain == "minute" else t.replace(minute=0, second=0) if grain == "hour" else t.replace(hour=0, minute=0, second=0)
+        length = {"minute": timedelta(minutes=1), "hour": timedelta(hours=1), "day": timedelta(days=1)}[grain]
+        if cut + length <= now:
+            want[cut, grain] = want.get((cut, grain), 0) + 1
+    assert {(utc(r.period_start), r.grain): r.probes for r in got} == want
