@@ -533,6 +533,12 @@ ORACLES = {
         min(eval_time) FILTER (WHERE state = 'firing') AS fired_at,
         CASE WHEN max(eval_time) < {AS_OF} THEN max(eval_time) + INTERVAL 1800 SECOND END AS resolved_at
       FROM states GROUP BY ALL"""),
+    "incremental_alert_history": q(SAMPLES, DURATION, _R, f"v AS ({instant('duration', 7200)})",
+      alert("SELECT * FROM v WHERE value > 3", 1800, 3600),
+      f"""SELECT {SL}, active_at, max(eval_time) AS last_active_at,
+        min(eval_time) FILTER (WHERE state = 'firing') AS fired_at,
+        CASE WHEN max(eval_time) < {AS_OF} THEN max(eval_time) + INTERVAL 1800 SECOND END AS resolved_at
+      FROM states GROUP BY ALL"""),
     "alert_port_down": q(SAMPLES, SUCCESS, _R, f"v AS ({instant('success', 7200)})",
       alert("SELECT * FROM v WHERE value = 0", 1800, 3600),
       alert_out("DBPortDown", "critical", "database", "concat('DB port down: ', target_name)")),

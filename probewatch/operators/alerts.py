@@ -87,6 +87,33 @@ def alert_history(condition: DataFrame, grid: Grid, hold_seconds: int,
     )
 
 
+def advance_alerts(opened: DataFrame, condition: DataFrame, grid: Grid, hold_seconds: int,
+                   labels: Sequence[str] = SERIES_LABELS) -> DataFrame:
+    """``alert_history`` carried over the next grid points: the activations open before, and the new ones.
+
+    ``opened`` holds those rows of the call before that are not resolved, and ``grid`` starts
+    one step after its grid's end.  Only the new points are evaluated; an activation that
+    goes on keeps its start.  Rows without ``resolved_at`` are the next call's ``opened``,
+    the others are final.
+    """
+    labels = list(labels)
+    ends = _segments(condition, grid, labels).groupBy(*labels, "origin").agg(F.max("k1").alias("k1"))
+    key = [*labels, "_one"]  # rules without labels have one activation at most
+    ends, opened = ends.withColumn("_one", F.lit(1)), opened.withColumn("_one", F.lit(1))
+    first = ends.where(F.col("origin") == 0).select(*key, F.col("k1").alias("_k1"))
+    resolved = lambda k: F.when(k < grid.points - 1, eval_time(k + 1, grid))
+    known = opened.join(first, key, "left").select(
+        *labels, "active_at", F.coalesce(eval_time(F.col("_k1"), grid), "last_active_at").alias("last_active_at"),
+        F.when(F.col("_k1").isNull(), eval_time(F.lit(0), grid)).otherwise(resolved(F.col("_k1"))).alias("resolved_at"))
+    begun = ends.where(F.col("origin") > 0).unionByName(ends.where(F.col("origin") == 0).join(opened.select(*key), key, "left_anti"))
+    fresh = begun.select(*labels, eval_time(F.col("origin"), grid).alias("active_at"),
+                         eval_time(F.col("k1"), grid).alias("last_active_at"), resolved(F.col("k1")).alias("resolved_at"))
+    wait = F.make_dt_interval(secs=F.lit(-(-hold_seconds // grid.step) * grid.step))
+    fires = F.col("active_at") + wait
+    return known.unionByName(fresh).select(
+        *labels, "active_at", "last_active_at", F.when(fires <= F.col("last_active_at"), fires).alias("fired_at"), "resolved_at")
+
+
 @dataclass(frozen=True)
 class Rule:
     name: str

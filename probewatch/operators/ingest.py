@@ -21,12 +21,8 @@ def high_water(samples: DataFrame) -> DataFrame:
     return samples.agg(F.coalesce(newest, F.lit(0)).alias("high_water"))
 
 
-def unique_samples(batch: DataFrame) -> DataFrame:
-    """One row per (time, target); the lowest instance wins, then the other columns.
-
-    ``min`` over a struct combines on the map side, so many copies of one key
-    cost one row per map task.
-    """
+def _least_rows(batch: DataFrame) -> DataFrame:
+    """One row per (time, target); ``min`` over a struct combines on the map side."""
     rest = [c for c in batch.columns if c not in SAMPLE_KEY and c != "instance"]
     best = batch.groupBy(*SAMPLE_KEY).agg(F.min(F.struct("instance", *rest)).alias("r"))
     return best.select(*[
@@ -34,6 +30,17 @@ def unique_samples(batch: DataFrame) -> DataFrame:
     ])
 
 
+def unique_samples(batch: DataFrame) -> DataFrame:
+    """One row per (time, target); the lowest instance wins, then the other columns.
+
+    Keys are counted by hashing first.  Only rows of the few repeated keys are sorted, and
+    many copies of one of them cost one row per map task.
+    """
+    repeated = batch.groupBy(*SAMPLE_KEY).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    single = batch.join(repeated, SAMPLE_KEY, "left_anti").select(*batch.columns)
+    return single.unionByName(_least_rows(batch.join(repeated, SAMPLE_KEY, "left_semi").select(*batch.columns)))
+
+
 def within_retention(as_of: Column, days: int = RAW_RETENTION_DAYS) -> Column:
     """Condition of samples whose key the store still remembers."""
     return F.to_date("checked_at") >= F.date_sub(as_of.cast("date"), days)
@@ -169,6 +176,17 @@ def batch_metrics(
     )
 
 
+def metrics_row(spark, as_of: Column, fetched: int, newest: Column, inserted: int, backlog_seconds: int | None = None) -> DataFrame:
+    """``batch_metrics`` from counts that earlier steps have made already."""
+    age = F.floor(seconds_between(as_of, newest)).cast("long")
+    behind = age if backlog_seconds is None else F.lit(backlog_seconds).cast("long")
+    whole = lambda n: F.lit(n).cast("long")
+    return spark.range(1).select(
+        as_of.alias("cycle_at"), F.lit(1).alias("cycle_success"), F.unix_seconds(as_of).alias("last_success_timestamp_seconds"),
+        whole(fetched).alias("samples_fetched_last_cycle"), whole(inserted).alias("rows_inserted_last_cycle"),
+        F.greatest(F.coalesce(behind, whole(0)), whole(0)).alias("backfill_remaining_seconds"))
+
+
 def failed_metrics(before: DataFrame, as_of: Column) -> DataFrame:
     """Self-metrics of a failed batch: nothing moved, the last success stays."""
     last = before.agg(

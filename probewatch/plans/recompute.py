@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 
 from probewatch.operators import events, inventory, kpi
 from probewatch.operators.ingest import rebuild_range, rebuild_summary, require_rows, upsert_replace
+from probewatch.operators.lineage import cut_lineage
 from probewatch.schemas import SLOW_MS
 
 
@@ -49,7 +50,7 @@ def normalize_kpi(samples: DataFrame, hourly: DataFrame, daily: DataFrame, error
     Returns the three rebuilt tables and a one-row summary.
     """
     require_rows(samples)
-    minutes = kpi.minute_samples(samples)
+    minutes = cut_lineage(kpi.minute_samples(samples))  # read by all four results
     new_hourly = rebuild_range(hourly, kpi.kpi_norm(minutes, "hour"), "period_hour", minutes)
     new_daily = rebuild_range(daily, kpi.kpi_norm(minutes, "day"), "period_start", minutes)
     new_errors = rebuild_range(errors, kpi.daily_errors_norm(minutes), "period_start", minutes)

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from functools import partial
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from probewatch import schemas as S
@@ -135,11 +135,14 @@ def ingest_batch(
     # Stored keys are read only for the time span of the batch: by day
     # and, as most files hold one batch, by their row-group statistics.
     known = store.appended("samples", S.SAMPLE, days=[])
-    first, last = valid.agg(F.unix_micros(F.min("checked_at")), F.unix_micros(F.max("checked_at"))).first()
+    fetched, first, last = valid.agg(
+        F.count(F.lit(1)), F.unix_micros(F.min("checked_at")), F.unix_micros(F.max("checked_at"))).first()
     if first is not None:
         known = store.appended("samples", S.SAMPLE, since=_datetime(first).date(), until=_datetime(last).date())
         known = known.where(F.col("checked_at").between(at_micros(first), at_micros(last)))
     fresh = ops.dedup_new_rows(valid, known)
+    inserted = Observation()
+    fresh = fresh.observe(inserted, F.count(F.lit(1)).alias("rows"))  # counted by the write itself
     store.stage_append("samples", fresh.sortWithinPartitions("target_name", "checked_at"), "checked_at", batch_id)
     store.stage_append("rejected", rejected.withColumn("seen_at", now), "seen_at", batch_id)
     new_rows = store.batch_rows("samples", S.SAMPLE, batch_id)
@@ -183,7 +186,8 @@ def ingest_batch(
             store.stage_replace("late_hours", store.replaced("late_hours", S.TARGET_HOUR).unionByName(late).distinct(), batch_id)
 
     def metric_table():
-        metrics = ops.batch_metrics(valid, new_rows, now, backlog_seconds)
+        newest = F.lit(None).cast("timestamp") if last is None else at_micros(last)
+        metrics = ops.metrics_row(store.spark, now, fetched, newest, inserted.get["rows"], backlog_seconds)
         store.stage_append("ingest_metrics", metrics, "cycle_at", batch_id)
 
     # The tables do not depend on each other before the commit, so their small

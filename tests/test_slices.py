@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from probewatch.operators import events, ingest, kpi, series, slices
-from probewatch.operators.alerts import alert_history, alert_states
+from probewatch.operators.alerts import advance_alerts, alert_history, alert_states
 from probewatch.plans import dashboards, reports
 from tests.conftest import row, when
 
@@ -162,6 +162,28 @@ def test_alert_runs_across_slices(spark):
         {(n, s) for (n, _), (s, st) in want.items() if st == "firing"})
 
 
+@pytest.mark.parametrize("cuts", [[0, 1, 2, 3, 300], [0, 40, 150, 300], [0, 299, 300]])
+@pytest.mark.parametrize("labels", [["target_name"], []])
+def test_alerts_carried_over_any_cut(spark, cuts, labels):
+    rng = random.Random(len(cuts))
+    start, step = when("00:00"), 30
+    whole = series.Grid(start, start + timedelta(seconds=step * 299), step)
+    names = "abc" if labels else "a"
+    rows = [(n, start + timedelta(seconds=step * k)) for n in names for k in range(300)
+            if rng.random() < 0.6 or 30 < k < 60 or n == "b" and 140 < k < 299]
+    condition = spark.createDataFrame(rows, "target_name string, eval_time timestamp")
+    want = alert_history(condition, whole, 100, labels)
+    opened, got = spark.createDataFrame([], want.schema), []
+    for a, b in zip(cuts, cuts[1:]):
+        part = series.Grid(start + timedelta(seconds=step * a), start + timedelta(seconds=step * (b - 1)), step)
+        inside = condition.where(F.col("eval_time").between(F.lit(part.start), F.lit(part.end)))
+        found = advance_alerts(opened, inside, part, 100, labels).collect()
+        opened = spark.createDataFrame([r for r in found if r.resolved_at is None], want.schema)
+        got += [r for r in found if r.resolved_at is not None]
+    got += opened.collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
 def test_slice_width_follows_density(spark, samples):
     dense = spark.range(40_000).select(
         F.lit("hot").alias("target_name"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") / 12).alias("checked_at"))
