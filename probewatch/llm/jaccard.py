@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from probewatch.llm.common import components, distinct, mix, offered, settle, shingle_set
 
@@ -313,7 +314,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int, table) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
+                       text_col: str = "text", keyed: bool = False) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable by links).
 
     Texts are split at space and tab to carriage return after lower-casing A-Z; a set holds
@@ -321,7 +322,9 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
     as 64-bit hashes.  Two rows link when ``100 * |x & y| >= percent * |x | y|``.  A null or
     empty text has size 0, no links and its own id as component.  Repeated rows stay
     repeated.  A null id is never the smallest; a component of null ids only is null.
-    Other columns are ignored.  An empty table gives an empty result.
+    Other columns are ignored.  An empty table gives an empty result.  ``keyed`` adds
+    ``set_key``, the hash of the row's set, and ``group_key``, which tells components apart
+    where ids repeat; both are null without words.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -399,7 +402,41 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
     named = nodes.join(label, nodes["key"] == label["node"], "left").select(
         nodes["key"].alias("k"), "rep", F.coalesce("component", "key").alias("c"))
     least = named.groupBy("c").agg(F.min("rep").alias("component_id"))
-    named = settle(named.join(least, "c").select("k", "component_id"))
+    named = settle(named.join(least, "c").select("k", "c", "component_id"))
     out = rows.join(named, rows["key"] == named["k"], "left")
+    more = [F.col("key").alias("set_key"), F.col("c").alias("group_key")] if keyed else []
     return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+                      F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), *more)
+
+
+def _with_key(width: int):
+    def run(batches):
+        for batch in batches:
+            sets = (shingle_set(t, width) for t in batch.column("text").to_pylist())
+            keys = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*batch.schema.names, "_set_key"])
+    return run
+
+
+def distinct_documents(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:
+    """One document of each component of ``jaccard_components``, with all its columns.
+
+    The one with the smallest id stays; of different texts with that id the one with the
+    smallest set key.  So different texts of one id stay both unless they are near copies,
+    and near copies without ids leave one.  Of rows of one id and one set any one stays.
+    Texts without words are near copies of nothing and all stay.
+    """
+    groups = settle(jaccard_components(docs, width, percent, keyed=True))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_key")
+    heads = groups.where("set_key is not null").groupBy("group_key").agg(F.min(order).alias("h"))
+    heads = heads.select(F.col("h.doc_id").alias("_id"), F.col("h.set_key").alias("_key"))
+    clear = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 or doc_id is null").limit(1).count() == 0
+    if clear:  # the id tells the row
+        stay = settle(heads.select("_id").unionByName(groups.where("set_key is null").select(F.col("doc_id").alias("_id"))))
+        return docs.join(offered(stay, stay.count(), 16), F.col("doc_id") == F.col("_id"), "left_semi")
+    copies = groups.groupBy(F.col("doc_id").alias("id"), F.col("set_key").alias("key")).agg(F.count(F.lit(1)).alias("_rows"))
+    heads = settle(heads.join(copies, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key"))).select("_id", "_key", "_rows"))
+    tagged = docs.mapInArrow(_with_key(width), T.StructType([*docs.schema.fields, T.StructField("_set_key", T.LongType())]))
+    met = tagged.join(heads, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_set_key") == F.col("_key")))
+    once = met.where("_rows = 1").unionByName(met.where("_rows > 1").dropDuplicates(["_id", "_key"]))
+    return once.select(*docs.columns).unionByName(tagged.where("_set_key is null").select(*docs.columns))

@@ -577,3 +577,17 @@ def test_pipeline_stages(spark, odd, none):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, SF).count() == 0
         stage(spark, odd, SF).count()
+
+
+def test_distinct_documents_lose_no_text(spark, odd, none):
+    """Different texts of one id, near copies of one id, null ids and texts without words."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    near = a + " end"
+    rows = [(1, a), (1, b), (2, near), (3, a), (None, b), (None, "c d e"), (None, "c d e"), (4, None), (4, ""), (None, " "), (5, a), (1, a)]
+    df = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in rows], "doc_id long, text string, key string, n int, _id int").drop("_id")
+    got = sorted(((r["doc_id"], r["text"]) for r in jaccard.distinct_documents(df).collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (None, "c d e"), (4, None), (4, ""), (None, " ")], key=str)
+    plain = spark.createDataFrame([(7, a), (8, near), (9, b), (10, None)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in jaccard.distinct_documents(plain).collect()) == [7, 9, 10]
+    assert jaccard.distinct_documents(none).count() == 0
+    assert jaccard.distinct_documents(odd).columns == odd.columns
