@@ -8,10 +8,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from probewatch.llm import jaccard, packing, quality, secrets
-from probewatch.llm.common import offered, settle
+from probewatch.llm.common import settle
 
 #: A name, the vocabulary as ranks and its word pattern.
 TOKENIZER = ("byte_bpe_50k", public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -25,17 +24,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id.
-
-    Rows without an id stay; a repeated id stays once.
-    """
-    groups = settle(jaccard.jaccard_components(docs))
-    heads = settle(groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies")))
-    size = heads.agg(F.count(F.lit(1)).alias("n"), F.max("copies").alias("most")).first()
-    kept = docs.join(offered(heads.select("doc_id"), size["n"], 16), "doc_id", "left_semi").select(*docs.columns)
-    if (size["most"] or 0) > 1:
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    """One document of each group of near duplicates; different texts of one id are told apart."""
+    return jaccard.distinct_documents(docs)
 
 
 def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
