@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import bisect
 import re
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +28,21 @@ from probewatch.llm.common import ranked, settle
 CAPACITY = 2048
 END_ID = 0
 #: Words whose ids one Python worker remembers, in each of two tables.
-CACHE_WORDS = 160_000
+CACHE_WORDS = 280_000
 
 #: A text is read word by word unless a space precedes white space or the end, a line
 #: break precedes other white space, or other white space occurs.
 _IRREGULAR = re.compile(r"[ ](?:\s|\Z)|\n[^\S ]|[^\S \n]")
 
 
+def _as_bytes(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 class _Ids(dict):
     """Ids of a word, as bytes; a word that is not known yet is encoded when asked for.
 
@@ -46,7 +56,7 @@ class _Ids(dict):
     def __missing__(self, word: str) -> bytes:
         value = self.older.get(word)
         if value is None:
-            value = np.array(self.encode(self.lead + word), "<u4").tobytes() if word or self.lead else b""
+            value = _as_bytes(self.encode(self.lead + word)) if word or self.lead else b""
         if len(self) >= CACHE_WORDS // 2:
             self.older = dict(self)
             self.clear()
