@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Words and pairs of pieces that a Python worker remembers before it starts anew.
-CACHE_WORDS, CACHE_PAIRS = 300_000, 1_000_000
+#: Words that a Python worker remembers, and pairs of pieces before it starts anew.
+CACHE_WORDS, CACHE_PAIRS = 400_000, 1_000_000
 
 _SPACED = re.compile(f"{MARK}*[^{MARK}]*")
 
@@ -60,6 +60,7 @@ class Pieces:
         self.lengths = {end: sorted(n, reverse=True) for end, n in lengths.items()}
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge(self, word: str) -> list[str]:
         """The pieces of a word by plain merging: the best adjacent pair first, then the leftmost."""
@@ -140,12 +141,16 @@ class Pieces:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [self.split(t) if t else [] for t in texts]
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
+        # two generations: words that occur again are taken over from the older one
+        if len(self.words) > CACHE_WORDS // 2:
+            self.older, self.words = self.words, {}
         new = set()
         for words in split:
             new.update(words)
-        self.learn(w for w in new if w not in self.words)
+        new.difference_update(self.words)
+        for word in new.intersection(self.older):
+            self.words[word] = self.older[word]
+        self.learn(new.difference(self.older))
         get = self.words.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
@@ -230,4 +235,8 @@ def round_trips(docs: DataFrame, path: str) -> DataFrame:
 
     The mark itself in a text reads as a space, so such a text does not round-trip.
     """
-    return decode(encode(docs, path), path).mapInArrow(_digest, "doc_id long, n_ids long, ids_crc32 long, round_trip boolean")
+    def run(batches):  # ``encode`` and ``decode`` one after the other in one worker, so that texts travel once
+        return _digest(_decode(path)(_encode(path)(batches)))
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return texts.mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, round_trip boolean")
