@@ -381,6 +381,9 @@ ORACLES = {
       f"o AS ({kpi_raw('stored', 'day')})",
       "kpi AS (SELECT * FROM n UNION ALL SELECT * FROM o WHERE period_start < (SELECT min(period_start) FROM n))",
       kpi_out("kpi", "period_start")),
+    "staged_samples": q(SAMPLES, """SELECT make_timestamp((epoch_us(checked_at) + 500) // 1000 * 1000) AS checked_at, target_name,
+      db_type, environment, host, port, instance, coalesce(criticality, '') AS criticality, coalesce(team, '') AS team, is_up,
+      CAST(latency_ms AS DOUBLE) AS latency_ms, error_text FROM samples"""),
     "normalized_tables": q(SAMPLES, "recent AS (SELECT * FROM samples WHERE checked_at >= TIMESTAMP '2024-01-11 00:00:00')",
       "older AS (SELECT * FROM samples WHERE checked_at < TIMESTAMP '2024-01-11 00:00:00')",
       f"m AS ({minutes('recent')})", f"n AS ({kpi_norm('m', 'day')})", f"o AS ({kpi_raw('older', 'day')})",

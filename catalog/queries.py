@@ -18,6 +18,7 @@ from probewatch.plans import dashboards, recompute, reports
 from probewatch.sources import merge_success_duration, range_window, violations
 from probewatch.sources.documents import rejected_documents, samples_from_documents
 from probewatch.sources.samples import stage_to_samples
+from probewatch.sources.staged import read_stage, write_stage
 from probewatch.streaming import maintenance, tracker
 from probewatch.streaming.ingest import ingest_batch
 from probewatch.streaming.store import Store
@@ -148,6 +149,13 @@ def _rejected_values(spark, sf):
     return violations(merged).select("checked_at", "target_name", "error_text", "reason")
 
 
+def _staged(spark, sf):
+    """Samples through an exchange file: an absent label comes back as the empty text."""
+    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    write_stage(I.samples(spark, sf).withColumn("checked_at_ms", I.MILLIS()), path)
+    return stage_to_samples(read_stage(spark, path))
+
+
 def _documents_to_samples(spark, sf):
     """Both metrics in documents of their own, parsed and paired."""
     return plain_samples(samples_from_documents(I.range_documents(spark, sf)))
@@ -283,6 +291,7 @@ QUERIES = {
     "rebuild_summary": _rebuild_summary,
     "normalized_tables": _normalized,
     "documents_to_samples": _documents_to_samples,
+    "staged_samples": _staged,
     "rejected_documents": lambda s, d: rejected_documents(I.range_documents(s, d)).select("source_file", "status"),
     "rejected_values": _rejected_values,
     "retention_raw": _on(ingest.keep_samples, NOW, 10),

@@ -275,3 +275,15 @@ def test_upsert_recomputed_keeps_other_rows(samples):
     stored = {"downtime_events": events.downtime_events(old)}
     merged = recompute.upsert_recomputed(stored, {"downtime_events": events.downtime_events(new)})
     assert merged["downtime_events"].count() == 2
+
+
+@pytest.mark.parametrize("backlog", [None, 90])
+def test_metrics_from_counts_equal_those_from_rows(spark, samples, backlog):
+    from probewatch.operators import ingest as ops
+    fetched, inserted = samples(row("10:00", 1), row("10:02", 0), row("10:02", 0)), samples(row("10:02", 0))
+    now = F.lit(when("10:05"))
+    want = ops.batch_metrics(fetched, inserted, now, backlog).collect()
+    assert ops.metrics_row(spark, now, 3, F.lit(when("10:02")), 1, backlog).collect() == want
+    nothing = fetched.limit(0)
+    assert ops.metrics_row(spark, now, 0, F.lit(None).cast("timestamp"), 0, backlog).collect() == ops.batch_metrics(
+        nothing, nothing, now, backlog).collect()
