@@ -1,16 +1,20 @@
 """Secret scans: fixed patterns, and character Markov models of random strings and identifiers.
 
-Two first-order models over character classes are trained from labelled samples: the
-values that the fixed patterns find are samples of random strings, the other long words
-are samples of ordinary identifiers.  Their transition counts are small tables that add
-up, so they are taken over all documents.  A word that no pattern covers is reported when
-its log-likelihood ratio per character, and in all, speaks for a random string.
+Ordinary text has one first-order chain over characters.  Its transition counts are a small
+table that adds up, so they are taken over all documents, from the long words that no pattern
+covers, and from labelled identifiers and paths.  Random strings are a mixture of chains: one
+for each usual alphabet, and one counted from the values that the patterns find.  A word that
+no pattern covers is reported when its log-likelihood ratio in all reaches a threshold, so a
+longer word needs less per character.  The threshold is learned: labelled ordinary words of a
+vocabulary that training does not see reach it at a rate of at most ``FALSE_ALARMS``.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +31,70 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "markov")
 # End of the fixed values.
 
-#: Words that the models judge, and their least length.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-#: Log-likelihood ratio in all and per character, in nats, above which a word is reported.
-TOTAL, PER_CHAR = 20.0, 0.5
+#: Words that the models judge and learn from; shorter ones hold too little to tell.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+#: Share of the held-out ordinary words that may reach the threshold, and labelled words of each half.
+FALSE_ALARMS, SAMPLES = 0.002, 6000
+
+# Words of usual identifiers, paths and file names, and alphabets of random strings.
+VOCABULARY = (
+    "account action active address admin agent alert archive article assets async backup balance batch binary branch buffer "
+    "build button cache calendar callback category channel client cluster column command comment commit common company config "
+    "connection content context controller counter country create current customer database date default delete deploy detail "
+    "device document domain download driver email enable encoder engine entity entry error event example exception export "
+    "factory feature fetch field file filter folder footer format function gateway general group handler header height helper "
+    "history home host image import include index input install instance integer interface internal invoice item job language "
+    "layout length library license list loader local location logger manager mapping master memory message method metric mobile "
+    "model module monitor month network node notice number object offset online option order output package page parameter "
+    "parser partner password path payment pending person picture platform player plugin policy position prefix price print "
+    "private process product profile project property provider public query queue random reader record region register release "
+    "remote report request resource response result role route schema screen script search section security segment select "
+    "sequence server service session setting shared shipping signal single snapshot source special standard start state static "
+    "status storage store stream string style submit summary support switch symbol system table target task team template "
+    "terminal test text thread ticket time title token total track transaction transfer trigger type unique update upload "
+    "user value vendor version video view virtual visible warning web widget width window worker wrapper writer year zone").split()
+ALPHABETS = (
+    "abcdefghijklmnopqrstuvwxyz", "0123456789abcdefghijklmnopqrstuvwxyz", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+    "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+    "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz_-")
+# End of the fixed values.
+
+
+def ordinary_words(half: int, n: int = SAMPLES) -> list[str]:
+    """Labelled ordinary words of 12 characters or more: identifiers with and without digits, paths, numbers and rules.
+
+    Their parts are every second word of the vocabulary, from ``half`` (0: for training, 1: held out).
+    """
+    rng, known, made = random.Random(half), VOCABULARY[half::2], []
+    while len(made) < n:
+        parts = rng.choices(known, k=rng.randint(2, 5))
+        digits = rng.choice(["", "", str(rng.randrange(10)), str(rng.randrange(1000)), f"{rng.randint(1990, 2030)}", f"v{rng.randrange(10)}"])
+        if digits:
+            parts.insert(rng.randint(1, len(parts)), digits)
+        shape = rng.randrange(9)
+        if shape == 0:
+            word = "_".join(parts)
+        elif shape == 1:
+            word = "-".join(parts)
+        elif shape == 2:
+            word = "_".join(parts).upper()
+        elif shape == 3:
+            word = "".join(p.upper() if rng.random() < 0.1 else p.capitalize() for p in parts)
+        elif shape == 4:
+            word = parts[0] + "".join(p.capitalize() for p in parts[1:])
+        elif shape == 5:
+            word = "/" * rng.randrange(2) + "/".join(p.capitalize() if rng.random() < 0.1 else p for p in parts)
+        elif shape == 6:
+            word = "".join(rng.choices("0123456789", k=rng.randint(12, 20)))
+        elif shape == 7:
+            word = rng.choice(_ALPHABET[:-1]) * rng.randint(12, 40)
+        else:
+            word = f"/{parts[0]}/{rng.randint(1990, 2030)}/{rng.randint(1, 12):02d}/" + "-".join(parts[1:])
+        if len(word) >= 12:
+            made.append(word)
+    return made
+
 
 _ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 STATES = len(_ALPHABET) + 1  # the last one is the start
@@ -66,6 +130,7 @@ def _values(text: str, spans):
 def _train(batches):
     """Transition counts of both classes, one row per transition that occurs in this task."""
     counts = np.zeros((2, STATES, STATES), np.int64)
+    tally = Counter()
     for batch in batches:
         for text in batch.column(0).to_pylist():
             if not text:
@@ -73,49 +138,78 @@ def _train(batches):
             spans = base_spans(text)
             for value in _values(text, spans):
                 _add(counts[0], value)
-            for word in _LONG.findall(text):
-                if not any(c.isdigit() for c in word):
-                    _add(counts[1], word)
+            for start, word in _free(text, spans):
+                tally[word] += 1
+        if len(tally) >= 200_000:
+            _add_all(counts[1], tally)
+    _add_all(counts[1], tally)
     label, before, after = np.nonzero(counts)
     yield pa.RecordBatch.from_arrays(
         [pa.array(x.astype(np.int32)) for x in (label, before, after)] + [pa.array(counts[label, before, after])],
         ["label", "before", "after", "n"])
 
 
-_LONG = re.compile(r"[A-Za-z0-9_-]{10,}")
+def _free(text, base):
+    """(start, word) of the candidates that overlap no base span."""
+    for m in CANDIDATE.finditer(text):
+        if all(m.end() <= s or m.start() >= e for s, e, _ in base):
+            yield m.start(), m[0]
 
 
-def _add(counts, word):
+def _add(counts, word, times=1):
     codes = np.concatenate([[STATES - 1], _codes(word)])
-    np.add.at(counts, (codes[:-1], codes[1:]), 1)
+    np.add.at(counts, (codes[:-1], codes[1:]), times)
+
+
+def _add_all(counts, tally):
+    for word, times in tally.items():
+        _add(counts, word, times)
+    tally.clear()
+
+
+def _shares(counts):
+    """Chances of each next character; what was not seen gets the chance of the character by itself."""
+    single = (counts.sum(0) + 1.0) / (counts.sum() + STATES)
+    return (counts + 5.0 * single) / (counts.sum(1, keepdims=True) + 5.0)
 
 
 class Models:
-    """Log-likelihood ratio of random strings over ordinary identifiers."""
+    """Log-likelihood ratio of random strings over ordinary words, and its learned threshold."""
 
     def __init__(self, counts: np.ndarray):
-        smooth = counts + np.float64(0.5)
-        # a random string may use any letter or digit: mix its chain with even chances
-        chance = smooth / smooth.sum(2, keepdims=True)
-        chance[0] = 0.5 * chance[0] + 0.5 / (STATES - 1)
-        self.ratio = np.log(chance[0]) - np.log(chance[1])
+        # labelled words and those of the documents tell alike, however many documents there are
+        labelled = np.zeros((STATES, STATES), np.int64)
+        for word in ordinary_words(0):
+            _add(labelled, word)
+        met = counts[1] * min(1.0, labelled.sum() / max(counts[1].sum(), 1))
+        ordinary = np.log(_shares(labelled + met))
+        chains = []
+        for letters in ALPHABETS:
+            chain = np.full((STATES, STATES), -np.inf)
+            chain[:, _codes(letters)] = -np.log(len(letters))
+            chains.append(chain)
+        # values found may be few: half of their chain is the chance of any letter or digit
+        chains.append(np.log(0.5 * _shares(counts[0]) + 0.5 / (STATES - 1)))
+        self.ratios = [chain - ordinary for chain in chains]
+        self.known: dict[str, bool] = {}
+        scores = np.sort([self.score(w) for w in ordinary_words(1)])
+        self.threshold = float(scores[int(np.ceil(len(scores) * (1 - FALSE_ALARMS))) - 1])
 
     def score(self, word: str) -> float:
         codes = np.concatenate([[STATES - 1], _codes(word)])
-        return float(self.ratio[codes[:-1], codes[1:]].sum())
+        sums = [float(ratio[codes[:-1], codes[1:]].sum()) for ratio in self.ratios]
+        return float(np.logaddexp.reduce(sums)) - float(np.log(len(sums)))
 
     def random(self, word: str) -> bool:
-        if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
-            return False
-        score = self.score(word)
-        return score >= TOTAL and score >= PER_CHAR * len(word)
+        if word not in self.known:
+            if len(self.known) >= 100_000:
+                self.known.clear()
+            self.known[word] = self.score(word) > self.threshold
+        return self.known[word]
 
     def spans(self, text: str, base) -> list[tuple[int, int, str]]:
         """Base spans and the words that the models add; those never overlap a base span."""
-        added = []
-        for m in CANDIDATE.finditer(text):
-            if all(m.end() <= s or m.start() >= e for s, e, _ in base) and self.random(m[0]):
-                added.append((m.start(), m.end(), "markov"))
+        added = [(start, start + len(word), "markov") for start, word in _free(text, base) if self.random(word)]
         return sorted([*base, *added], key=lambda s: (s[0], KINDS.index(s[2]))) if added else base
 
 
