@@ -3,9 +3,11 @@
 Two sets can only reach the threshold if their prefixes (the first
 ``n - ceil(t * n) + 1`` tokens) share a token, under *every* global order of the tokens.
 One order indexes the sets, and a pair must share so many tokens of its two prefixes that
-what lies behind them can still make up the rest; a candidate must also share a prefix
-token under each further order before it is verified by a full intersection.  Every order
-puts tokens that many sets hold last, so that common passages hardly ever reach a prefix.
+what lies behind them can still make up the rest; a candidate must also share so many
+under each further order.  These are told from short rows, the 16-bit hashes of the prefix
+tokens; whole sets move only for pairs that pass every order, to be intersected exactly.
+Every order puts tokens that many sets hold last, so that common passages hardly ever
+reach a prefix.
 
 The work is linear in a group of copies: equal sets are one node, and an index entry of
 a heavy token with many sets links them to a few centres first.  Only sets that this
@@ -18,6 +20,9 @@ tokens all lie in the prefixes and none is shared; each then links with the smal
 of the other's heavy part, and these two link as well.  For the same reason a pair that
 shares no light token needs an overlap within the smaller heavy part.  Pairs that share a
 light token of a large run are found by these tokens and kept whatever their heavy parts.
+A set whose heavy part lies within that of a linked set no larger than it need not be met
+at all: whatever it links with by heavy tokens alone, the other links with too.  So of a
+large group of copies with edits only those remain that no other stands for.
 """
 
 from __future__ import annotations
@@ -252,6 +257,28 @@ def _candidates(percent, table):
     return run
 
 
+def _sketches(width, percent, table):
+    """Of each set its key, size and the 16-bit hashes of its prefix tokens under every further order."""
+    def run(batches):
+        heavy, weight = table.value
+        for batch in batches:
+            keys, sizes, blobs = [], [], []
+            for text in batch.column(0).to_pylist():
+                tokens = shingle_set(text, width)
+                if len(tokens):
+                    p = prefix_length(len(tokens), percent)
+                    keys.append(set_key(tokens))
+                    sizes.append(len(tokens))
+                    blobs.append(b"".join(
+                        (tokens[_in_order(tokens, heavy, weight, k)[0][:p]] >> np.uint64(48)).astype(np.uint16).tobytes()
+                        for k in range(1, ORDERS)))
+            for k in range(0, len(keys), 512):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[k:k + 512], pa.int64()), pa.array(sizes[k:k + 512], pa.int64()),
+                     pa.array(blobs[k:k + 512], pa.binary())], ["key", "n", "tokens"])
+    return run
+
+
 def _sets(width):
     def run(batches):
         for batch in batches:
@@ -263,35 +290,59 @@ def _sets(width):
                     blobs.append(tokens.tobytes())
             for k in range(0, len(keys), 512):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[k:k + 512], pa.int64()), pa.array(blobs[k:k + 512], pa.binary())], ["key", "tokens"])
+                    [pa.array(keys[k:k + 512], pa.int64()), pa.array([len(x) // 8 for x in blobs[k:k + 512]], pa.int64()),
+                     pa.array(blobs[k:k + 512], pa.binary())], ["key", "n", "tokens"])
+    return run
+
+
+def _intersect(percent):
+    """Pairs of one centre that share enough prefix tokens under every further order.
+
+    Tokens with equal hashes count as shared, so that no pair is lost.
+    """
+    def run(members: pa.Table, centre: pa.Table) -> pa.Table:
+        kept_a, kept_b = [], []
+        if members.num_rows and centre.num_rows:
+            a, n = centre.column("key")[0].as_py(), centre.column("n")[0].as_py()
+            held = np.zeros((ORDERS - 1, 1 << 16), bool)
+            x = np.frombuffer(centre.column("tokens")[0].as_py(), np.uint16).reshape(ORDERS - 1, -1)
+            for k in range(ORDERS - 1):
+                held[k, x[k]] = True
+            for b, m, blob in zip(*(members.column(c).to_pylist() for c in ("b", "n", "tokens"))):
+                y = np.frombuffer(blob, np.uint16).reshape(ORDERS - 1, -1)
+                behind = (percent * max(n, m) + 99) // 100 - 1
+                if _near(n, m, percent) and all(
+                        (100 + percent) * (int(held[k, y[k]].sum()) + behind) >= percent * (n + m) for k in range(ORDERS - 1)):
+                    kept_a.append(a)
+                    kept_b.append(b)
+        return pa.table({"a": pa.array(kept_a, pa.int64()), "b": pa.array(kept_b, pa.int64())})
     return run
 
 
 def _verify(percent, table):
-    """Pairs of one centre that pass every order's prefix filter and then the exact test."""
+    """Links of one centre by the exact test.  ``low`` is the end that the other one stands for:
+    a set with its whole heavy part, no larger than it (ties by heavy tokens, then key)."""
     def run(members: pa.Table, centre: pa.Table) -> pa.Table:
-        linked_a, linked_b = [], []
+        links = []
         if members.num_rows and centre.num_rows:
-            heavy, weight = table.value
+            heavy = table.value[0]
 
-            def prefixes(x):
-                p = prefix_length(len(x), percent)
-                return [x[_in_order(x, heavy, weight, k)[0][:p]] for k in range(1, ORDERS)]
+            def heavy_part(x):
+                return x[heavy[np.minimum(np.searchsorted(heavy, x), len(heavy) - 1)] == x] if len(heavy) else x[:0]
 
             a = centre.column("key")[0].as_py()
             x = np.frombuffer(centre.column("tokens")[0].as_py(), np.uint64)
-            own = [distinct(p) for p in prefixes(x)]
+            hx = heavy_part(x)
             for b, blob in zip(members.column("b").to_pylist(), members.column("tokens").to_pylist()):
                 y = np.frombuffer(blob, np.uint64)
-                if not _near(len(x), len(y), percent):
-                    continue
-                if any(not _shared(p, q) for p, q in zip(own, prefixes(y))):
-                    continue
                 both = _shared(x, y)
                 if 100 * both >= percent * (len(x) + len(y) - both):
-                    linked_a.append(a)
-                    linked_b.append(b)
-        return pa.table({"a": pa.array(linked_a, pa.int64()), "b": pa.array(linked_b, pa.int64())})
+                    hy = heavy_part(y)
+                    first = (len(x), -len(hx), a) < (len(y), -len(hy), b)
+                    less, more = (hy, hx) if first else (hx, hy)
+                    inside = len(less) <= len(more) and _shared(less, more) == len(less)
+                    links.append((a, b, (b if first else a) if inside else None))
+        return pa.table({c: pa.array([x[k] for x in links], pa.int64()) for k, c in enumerate(("a", "b", "low"))})
     return run
 
 
@@ -300,17 +351,15 @@ def _shared(x, y) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int, table) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold.  A centre's pairs are dealt in chunks."""
+def _met(pairs: DataFrame, sets: DataFrame, judge, schema: str) -> DataFrame:
+    """What ``judge`` says of the pairs (a, b), given what ``sets`` holds of both ends.  A centre's pairs are dealt in chunks."""
     # repeated document ids may bring a set twice; the links stay the same
     degree = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("deg"))
     pairs = pairs.join(degree, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.ceil(F.col("deg") / CHUNK))).drop("deg")
-    members = pairs.join(sets, pairs["b"] == sets["key"]).select("a", "chunk", "b", "tokens")
+    members = pairs.join(sets, pairs["b"] == sets["key"]).select("a", "chunk", "b", "n", "tokens")
     centres = pairs.select("a", "chunk").distinct().join(
-        sets, F.col("a") == F.col("key")).select("a", "chunk", "key", "tokens").toDF("centre", "part", "key", "tokens")
-    return members.toDF("a", "chunk", "b", "tokens").groupBy("a", "chunk").cogroup(
-        centres.groupBy("centre", "part")).applyInArrow(
-        _verify(percent, table), "a long, b long")
+        sets, F.col("a") == F.col("key")).select("a", "chunk", "key", "n", "tokens").toDF("centre", "part", "key", "n", "tokens")
+    return members.groupBy("a", "chunk").cogroup(centres.groupBy("centre", "part")).applyInArrow(judge, schema)
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_col: str = "doc_id",
@@ -359,13 +408,26 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
         F.col("a").alias("token"), F.col("b").alias("key"), "n", F.col("m").alias("h"), "part",
         (F.col("shared") == 1).alias("light"))
 
-    wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
-    wanted = settle(wanted.unionByName(rest.select("key")).distinct().join(nodes, "key").select("key", "rep"))
-    ids = offered(wanted.select("rep"), wanted.count(), 16)
-    chosen = texts.join(ids, texts["doc_id"] == ids["rep"], "left_semi").unionByName(texts.where("doc_id is null"))
-    sets = settle(chosen.select("text").mapInArrow(_sets(width), "key long, tokens binary"))
+    def held(keys, of, schema):
+        """What ``of`` tells of the sets with these keys; a set is made anew from a text that has it."""
+        reps = settle(keys.distinct().join(nodes, "key").select("rep"))
+        ids = offered(reps, reps.count(), 16)
+        chosen = texts.join(ids, texts["doc_id"] == ids["rep"], "left_semi").unionByName(texts.where("doc_id is null"))
+        return settle(chosen.select("text").mapInArrow(of, schema))
+
+    def ends(pairs):
+        return pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
+
+    row = "key long, n long, tokens binary"
+    sketches = held(ends(pairs).unionByName(rest.select("key")), _sketches(width, percent, table), row)
+
+    def linked(pairs):
+        """Links among the pairs: the further orders decide by short rows which whole sets move."""
+        likely = settle(_met(pairs, sketches, _intersect(percent), "a long, b long").distinct())
+        sets = held(ends(likely), _sets(width), row)
+        return settle(_met(likely, sets, _verify(percent, table), "a long, b long, low long"))
 
-    edges = settle(_links(pairs, sets, percent, table))
+    edges = linked(pairs)
     if rest.limit(1).count():
         label = components(edges)
         marked = settle(rest.join(label, rest["key"] == label["node"], "left")
@@ -382,8 +444,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
             return met.groupBy(F.col("p.key").alias("a"), F.col("p.key2").alias("b")).agg(
                 F.count_distinct("token").alias("often"), F.first("p.n").alias("n"), F.first("p.n2").alias("m"))
 
-        heavies, lights = left.where("not light"), left.where("light")
-        smallest = marked.where("not light").groupBy("part").agg(F.min(F.struct("n", "key")).alias("least")).select(F.col("least.key").alias("key"))
+        # a set is left to the linked one that stands for it: with no light token shared, that links with all that it links with
+        low = settle(edges.where("low is not null").select("low").distinct())
+        heavies, lights = left.where("not light").join(low, F.col("key") == F.col("low"), "left_anti"), left.where("light")
+        smallest = marked.where("not light").join(low, F.col("key") == F.col("low"), "left_anti").groupBy("part").agg(F.min(F.struct("n", "key")).alias("least")).select(F.col("least.key").alias("key"))
         # no light token shared: the overlap lies within both heavy parts
         apart = across(heavies, heavies.join(smallest.distinct(), "key"), f"{100 + percent} * least(h, h2) >= {percent} * (n + n2)")
         # light tokens shared: of heavy ones in large runs as many more as both have
@@ -397,7 +461,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
                 .where(_enough(percent)).select("a", "b").distinct())
         more = settle(more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
         if more.limit(1).count():
-            edges = edges.unionByName(settle(_links(more, sets, percent, table)))
+            edges = edges.unionByName(linked(more))
     label = components(edges)
     named = nodes.join(label, nodes["key"] == label["node"], "left").select(
         nodes["key"].alias("k"), "rep", F.coalesce("component", "key").alias("c"))
