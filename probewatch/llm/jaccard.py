@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from probewatch.llm.common import components, distinct, mix, offered, settle, shingle_set
+from probewatch.llm.common import components, distinct, give_back, mix, offered, settle, shingle_set, tidy, values
 
 #: Tokens of about this many sets go last in each order; the table of them is bounded.
 HEAVY_SETS, HEAVY_IN_TASK, HEAVY_TABLE = 12, 2, 1 << 20
@@ -67,10 +67,13 @@ def _scan(width: int):
 
         def fold():
             nonlocal kept_tokens, kept_counts, pending, waiting
-            tokens = np.sort(np.concatenate([np.repeat(kept_tokens, 0), *pending]))
+            tokens = np.concatenate([np.repeat(kept_tokens, 0), *pending])
+            pending, waiting = [], 0
+            tokens.sort()
+            # a token seen c times stays c - 1 times, so that those seen once take no further room
+            tokens = tokens[1:][tokens[1:] == tokens[:-1]]
             edge = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1], [True]])) if len(tokens) else np.zeros(1, int)
-            fresh, counts = tokens[edge[:-1]], np.diff(edge)
-            fresh, counts = fresh[counts > 1], counts[counts > 1]
+            fresh, counts = tokens[edge[:-1]], np.diff(edge) + 1
             both, where = np.unique(np.concatenate([kept_tokens, fresh]), return_inverse=True)
             kept_counts = np.bincount(where, np.concatenate([kept_counts, counts]), len(both)).astype(np.int64)
             kept_tokens = both
@@ -78,12 +81,11 @@ def _scan(width: int):
                 top = np.argpartition(kept_counts, -HEAVY_TABLE)[-HEAVY_TABLE:]
                 top.sort()
                 kept_tokens, kept_counts = kept_tokens[top], kept_counts[top]
-            pending, waiting = [], 0
 
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids = batch.column(0)
             sizes, keys, seen = [], [], set()
-            for text in texts:
+            for text in values(batch.column(1)):
                 tokens = shingle_set(text, width)
                 key = set_key(tokens) if len(tokens) else None
                 sizes.append(len(tokens))
@@ -94,7 +96,7 @@ def _scan(width: int):
                     waiting += len(tokens)
                     if waiting > 3_000_000:
                         fold()
-            n = len(texts)
+            n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [pa.array([0] * n, pa.int32()), ids.cast(pa.int64()), pa.array(sizes, pa.int64()),
                  pa.array(keys, pa.int64())], ["kind", "doc_id", "n", "key"])
@@ -107,7 +109,7 @@ def _scan(width: int):
                 [pa.array([1] * m, pa.int32()), pa.array([None] * m, pa.int64()),
                  pa.array(kept_counts[often], pa.int64()),
                  pa.array(kept_tokens[often].view(np.int64), pa.int64())], ["kind", "doc_id", "n", "key"])
-    return run
+    return tidy(run)
 
 
 def _in_order(tokens, heavy, weight, order):
@@ -127,7 +129,7 @@ def _index(width, percent, buckets, table):
         heavy, weight = table.value
         for batch in batches:
             keys, sizes, parts, part_keys, tokens, seen = [], [], [], [], [], set()
-            for text in batch.column(0).to_pylist():
+            for text in values(batch.column(0)):
                 all_tokens = shingle_set(text, width)
                 if not len(all_tokens):
                     continue
@@ -165,7 +167,7 @@ def _index(width, percent, buckets, table):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket, pa.int32()), *[pa.array(x, pa.binary()) for x in blobs]],
                     ["bucket", *_ABOUT, "tokens", "own"])
-    return run
+    return tidy(run)
 
 
 def _enough(percent: int) -> str:
@@ -254,7 +256,13 @@ def _candidates(percent, table):
             "n": pa.array(np.concatenate([sizes[left], np.zeros(len(stars), np.int64), sizes[rest]])),
             "m": pa.array(np.concatenate([sizes[right], np.zeros(len(stars), np.int64), parts[rest]])),
             "part": pa.array(np.concatenate([np.zeros(len(left) + len(stars), np.int64), part_keys[rest]]))})
-    return run
+
+    def whole(rows: pa.Table) -> pa.Table:
+        try:
+            return run(rows)
+        finally:
+            give_back()
+    return whole
 
 
 def _sketches(width, percent, table):
@@ -262,37 +270,38 @@ def _sketches(width, percent, table):
     def run(batches):
         heavy, weight = table.value
         for batch in batches:
-            keys, sizes, blobs = [], [], []
-            for text in batch.column(0).to_pylist():
-                tokens = shingle_set(text, width)
-                if len(tokens):
-                    p = prefix_length(len(tokens), percent)
-                    keys.append(set_key(tokens))
-                    sizes.append(len(tokens))
-                    blobs.append(b"".join(
-                        (tokens[_in_order(tokens, heavy, weight, k)[0][:p]] >> np.uint64(48)).astype(np.uint16).tobytes()
-                        for k in range(1, ORDERS)))
-            for k in range(0, len(keys), 512):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[k:k + 512], pa.int64()), pa.array(sizes[k:k + 512], pa.int64()),
-                     pa.array(blobs[k:k + 512], pa.binary())], ["key", "n", "tokens"])
-    return run
+            for at in range(0, batch.num_rows, 512):
+                keys, sizes, blobs = [], [], []
+                for text in batch.column(0).slice(at, 512).to_pylist():
+                    tokens = shingle_set(text, width)
+                    if len(tokens):
+                        p = prefix_length(len(tokens), percent)
+                        keys.append(set_key(tokens))
+                        sizes.append(len(tokens))
+                        blobs.append(b"".join(
+                            (tokens[_in_order(tokens, heavy, weight, k)[0][:p]] >> np.uint64(48)).astype(np.uint16).tobytes()
+                            for k in range(1, ORDERS)))
+                if keys:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())], ["key", "n", "tokens"])
+    return tidy(run)
 
 
 def _sets(width):
     def run(batches):
         for batch in batches:
-            keys, blobs = [], []
-            for text in batch.column(0).to_pylist():
-                tokens = shingle_set(text, width)
-                if len(tokens):
-                    keys.append(set_key(tokens))
-                    blobs.append(tokens.tobytes())
-            for k in range(0, len(keys), 512):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[k:k + 512], pa.int64()), pa.array([len(x) // 8 for x in blobs[k:k + 512]], pa.int64()),
-                     pa.array(blobs[k:k + 512], pa.binary())], ["key", "n", "tokens"])
-    return run
+            for at in range(0, batch.num_rows, 512):
+                keys, blobs = [], []
+                for text in batch.column(0).slice(at, 512).to_pylist():
+                    tokens = shingle_set(text, width)
+                    if len(tokens):
+                        keys.append(set_key(tokens))
+                        blobs.append(tokens.tobytes())
+                if keys:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(keys, pa.int64()), pa.array([len(x) // 8 for x in blobs], pa.int64()),
+                         pa.array(blobs, pa.binary())], ["key", "n", "tokens"])
+    return tidy(run)
 
 
 def _intersect(percent):
@@ -476,10 +485,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 75, id_co
 def _with_key(width: int):
     def run(batches):
         for batch in batches:
-            sets = (shingle_set(t, width) for t in batch.column("text").to_pylist())
+            sets = (shingle_set(t, width) for t in values(batch.column("text")))
             keys = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*batch.schema.names, "_set_key"])
-    return run
+    return tidy(run)
 
 
 def distinct_documents(docs: DataFrame, width: int = 5, percent: int = 75) -> DataFrame:

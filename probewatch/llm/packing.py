@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from probewatch.llm.common import ranked, settle
+from probewatch.llm.common import ranked, settle, tidy, values
 
 CAPACITY = 2048
 END_ID = 0
@@ -136,7 +136,7 @@ def _cut(files, capacity, row_column):
         for batch in batches:
             rows, piece, start, length, crc = [], [], [], [], []
             end = np.array([END_ID], "<u4").tobytes()
-            for at, text in enumerate(batch.column(batch.schema.get_field_index(row_column)).to_pylist()):
+            for at, text in enumerate(values(batch.column(batch.schema.get_field_index(row_column)))):
                 ids = encode(text or "") + end
                 n = len(ids) // 4
                 head = n - (n - 1) // capacity * capacity
@@ -153,7 +153,7 @@ def _cut(files, capacity, row_column):
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, pa.array(piece, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, length, crc)]],
                 [*kept.schema.names, "piece", "start", "length", "ids_crc32"])
-    return run
+    return tidy(run)
 
 
 def cut_pieces(docs: DataFrame, files: tuple[str, ...], capacity: int = CAPACITY) -> DataFrame:

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from probewatch.llm.common import tidy
+
 #: Labelled rows per class and chunks per row that training takes; rows in the order of a hash.
 SAMPLE, CHUNKS = 1500, 6
 #: Bytes of a chunk, of its half (the step) and of a position; dimensions; filters; hidden units.
@@ -193,7 +195,7 @@ def _score(table, text_at):
             kept = [k for k in range(batch.num_columns) if k != text_at]
             yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in kept], pa.array(scores, pa.float64())],
                                              [*[batch.schema.names[k] for k in kept], "score"])
-    return run
+    return tidy(run)
 
 
 def _keep(table, text_at, threshold):
@@ -202,7 +204,7 @@ def _keep(table, text_at, threshold):
         for batch in batches:
             good = network.score(batch.column(text_at).to_pylist()) >= threshold
             yield batch.filter(pa.array(good))
-    return run
+    return tidy(run)
 
 
 THRESHOLD = 0.3

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from probewatch.llm.common import tidy, values
+
 
 # The base patterns and the lengths below which a match is dropped.
 ASSIGN = re.compile(
@@ -132,7 +134,7 @@ def _train(batches):
     counts = np.zeros((2, STATES, STATES), np.int64)
     tally = Counter()
     for batch in batches:
-        for text in batch.column(0).to_pylist():
+        for text in values(batch.column(0)):
             if not text:
                 continue
             spans = base_spans(text)
@@ -216,7 +218,7 @@ class Models:
 def train(docs: DataFrame) -> Models:
     """Models from the transition counts over all documents; the counts are a table of fixed size."""
     counts = np.zeros((2, STATES, STATES), np.int64)
-    rows = docs.select("text").mapInArrow(_train, "label int, before int, after int, n long")
+    rows = docs.select("text").mapInArrow(tidy(_train), "label int, before int, after int, n long")
     for r in rows.groupBy("label", "before", "after").agg(F.sum("n").alias("n")).collect():
         counts[r["label"], r["before"], r["after"]] = r["n"]
     return Models(counts)
@@ -233,7 +235,7 @@ def _scan(table, keep_text):
             names = batch.schema.names
             out = {c: [] for c in ("n_assign", "n_access", "n_hex", "base_sha256", "spans")}
             texts = []
-            for text in batch.column(names.index("text")).to_pylist():
+            for text in values(batch.column(names.index("text"))):
                 base = base_spans(text or "")
                 kinds = [k for _, _, k in base]
                 for k in ("assign", "access", "hex"):
@@ -252,7 +254,7 @@ def _scan(table, keep_text):
                 yield pa.RecordBatch.from_arrays(
                     [*kept, *[pa.array(v, types.get(c, pa.string())) for c, v in out.items()]],
                     [*[c for c in names if c != "text"], *out])
-    return run
+    return tidy(run)
 
 
 def redacted(text: str, spans, mark: str = "[SECRET]") -> str:
